@@ -23,8 +23,10 @@ def parse_date(col: str | Column) -> Column:
     The shape test runs first because a failing parse costs an exception per row.
     """
     c = _c(col)
-    shown = F.initcap(c)
-    tries = [F.when(c.rlike(shape), F.try_to_date(shown, pattern)) for _, shape, pattern in DATE_FORMATS]
+    tries = [
+        F.when(c.rlike(shape), F.try_to_date(F.initcap(c) if "MMM" in pattern else c, pattern))
+        for _, shape, pattern in DATE_FORMATS
+    ]
     return F.coalesce(*tries)
 
 

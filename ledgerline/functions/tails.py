@@ -64,6 +64,15 @@ def chi2_sf(x: Column, df: int) -> Column:
     return erfc(F.sqrt(half)) + F.exp(-half) * total
 
 
+def chi2_sf_sql(x: str, df: int) -> str:
+    """The chi-square tail as SQL text, for checking in another engine."""
+    half = f"(({x})/2.0)"
+    if df % 2 == 0:
+        return f"exp(-{half})*(" + "+".join(f"power({half},{i})/{math.gamma(i + 1)!r}" for i in range(df // 2)) + ")"
+    terms = "+".join(f"power({half},{j - 0.5})/{math.gamma(j + 0.5)!r}" for j in range(1, (df - 1) // 2 + 1)) or "0"
+    return f"({erfc_sql(f'sqrt({half})')}+exp(-{half})*({terms}))"
+
+
 def _log_beta(a: float, b: float) -> float:
     return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
 

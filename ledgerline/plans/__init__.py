@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["quality", "basics"]
+AREAS = ["quality", "basics", "marts", "series"]
 
 
 def load_all() -> None:

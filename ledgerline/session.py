@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "ledgerline") -> SparkSession:
@@ -53,6 +53,12 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_dir(spark))
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """The frame written to the checkpoint folder: computed once, and safe when executors go away."""
+    ensure_checkpoints(df.sparkSession)
+    return df.checkpoint()
+
+
 def shuffle_width(spark: SparkSession, ceiling: int = 1024) -> int:
     """How many range buckets to cut ordered work into: follows the cluster's own setting."""
     return max(4, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))

@@ -96,3 +96,82 @@ def site_master(t) -> DataFrame:
     return t.supplier.select(
         F.concat(F.lit("PH-"), F.col("s_suppkey").cast("string")).alias("pharmacy_id"), F.col("s_name").alias("site_name")
     )
+
+
+def nation_panel(t) -> DataFrame:
+    """Nation x month: orders as demand, value / 100,000 as driver.  Orders are summed per customer first."""
+    per_customer = t.orders.groupBy(
+        F.col("o_custkey").alias("c_custkey"), month_of("o_orderdate").alias("month_start")
+    ).agg(F.count(F.lit(1)).alias("demand"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    per_nation = (
+        per_customer.join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
+        .groupBy("c_nationkey", "month_start")
+        .agg(F.sum("demand").alias("demand"), (F.sum("cents") / 1e7).alias("driver"))
+    )
+    return per_nation.withColumnRenamed("c_nationkey", "nation")
+
+
+def annual_sources(t) -> tuple[DataFrame, DataFrame]:
+    """Annual value per nation with region totals mixed in (as public sources do), and an annual rate per nation."""
+    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year")).agg(
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"), F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+    )
+    per_nation = (
+        per_customer.join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
+        .groupBy(F.col("c_nationkey").alias("n_nationkey"), "year")
+        .agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"), F.sum("urgent").alias("urgent"))
+    )
+    # nation and region are fixed lists of 25 and 5 rows.
+    named = per_nation.join(F.broadcast(t.nation), "n_nationkey")
+    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    nations = named.select(F.col("n_name").alias("country"), code.alias("country_code"), "year", (F.col("cents") / 100).alias("gdp"))
+    regions = (
+        named.groupBy(F.col("n_regionkey").alias("r_regionkey"), "year").agg(F.sum("cents").alias("cents"))
+        .join(F.broadcast(t.region), "r_regionkey")
+        .select(F.col("r_name").alias("country"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("country_code"),
+                "year", (F.col("cents") / 100).alias("gdp"))
+    )
+    rates = named.select(F.col("n_name").alias("country"), code.alias("country_code"), "year",
+                         F.round(100.0 * F.col("urgent") / F.col("n"), 6).alias("rate"))
+    return nations.unionByName(regions), rates
+
+
+REGION_CODES = ("R0", "R1", "R2", "R3", "R4")
+
+
+def monthly_prices(t) -> DataFrame:
+    """Monthly value per market segment as a price series, with placeholder zeros in the last quarter."""
+    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), month_of("o_orderdate").alias("month")).agg(
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"), F.count(F.lit(1)).alias("n")
+    )
+    series = (
+        per_customer.join(t.customer.select("c_custkey", F.col("c_mktsegment").alias("series_id")), "c_custkey")
+        .groupBy("series_id", "month").agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
+    )
+    recent = F.col("month") >= F.lit("2001-06-01").cast("date")
+    return series.select(
+        "series_id", "month", (F.col("cents") / 100).alias("price"),
+        F.when(recent, 0.0).otherwise(F.col("n").cast("double")).alias("cpi"),
+        F.when(recent, 0.0).otherwise(F.round(F.col("cents") / 100 / F.col("n"), 2)).alias("real_price"),
+    )
+
+
+def entity_months(t) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Spine of customers, their monthly market and own volumes, and monthly contact counts."""
+    spine = t.customer.select(F.col("c_custkey").alias("entity_id"), "c_mktsegment", "c_nationkey")
+    monthly = t.orders.groupBy(F.col("o_custkey").alias("entity_id"), month_of("o_orderdate").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("market"),
+        F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("own"),
+    )
+    calls = t.events.groupBy(F.col("user_id").alias("entity_id"), month_of("ts").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("calls")
+    )
+    return spine, monthly, calls
+
+
+def daily_values(t) -> DataFrame:
+    """Daily value per order status; days without orders are missing."""
+    return t.orders.groupBy(F.col("o_orderstatus").alias("series_id"), F.col("o_orderdate").cast("date").alias("day")).agg(
+        (F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) / 100).alias("value")
+    )
