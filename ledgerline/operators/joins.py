@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 SMALL_BYTES = 64 * 1024 * 1024
 HOT_PARTS = 1000
+SALTS = 64
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -21,21 +22,33 @@ def hot_keys(fact: DataFrame, keys: list[str], parts: int = HOT_PARTS) -> DataFr
     return counts.join(F.broadcast(total)).filter(F.col("_n") * parts >= F.col("_total")).select(*keys)
 
 
+def salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame, how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """Shuffled join in which the rows of hot keys are spread over ``salts`` partitions.
+
+    ``hot`` lists the hot keys and must be bounded by construction; only the
+    lookup rows of those keys are repeated.  The salt is a hash of the row, so a
+    recomputed task places its rows as before.
+    """
+    flagged = fact.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salts)).cast("int")
+    left = flagged.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    marked = dim.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = marked.withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, keys + ["_salt"], how).drop("_salt")
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, keys: str | list[str], how: str = "inner") -> DataFrame:
     """Join a large frame to a lookup frame with unique keys.
 
     A lookup whose scan is small by Catalyst's own estimate is broadcast.  A
-    larger one is split: the rows for hot keys, at most ``HOT_PARTS`` of them,
-    are broadcast, and everything else goes through an ordinary shuffled join.
-    NULL keys follow the cold path, as they never match.
+    larger one is joined by shuffle, with the hot keys (at most ``HOT_PARTS``)
+    salted so that none of them ends up in a single task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left"):
         raise ValueError("lookup_join does inner and left joins")
     if planned_bytes(dim) <= SMALL_BYTES:
         return fact.join(F.broadcast(dim), keys, how)
-    hot = hot_keys(fact.dropna(subset=keys), keys)
-    hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
-    hot_fact = fact.join(F.broadcast(hot), keys, "left_semi")
-    cold_fact = fact.join(F.broadcast(hot), keys, "left_anti")
-    return hot_fact.join(F.broadcast(hot_dim), keys, how).unionByName(cold_fact.join(dim, keys, how))
+    return salted_join(fact, dim, keys, hot_keys(fact.dropna(subset=keys), keys), how)

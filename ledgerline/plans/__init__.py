@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["quality", "basics", "marts", "series"]
+AREAS = ["quality", "basics", "marts", "series", "forecasts", "experiments", "evaluation", "texts", "models", "segments"]
 
 
 def load_all() -> None:

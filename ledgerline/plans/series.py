@@ -141,7 +141,7 @@ def corr_matrix(t):
     return rnd(S.corr_matrix(month_table(t), [], CORR_COLUMNS))
 
 
-@query("ols_line", f"""WITH {SERIES} SELECT series_id, regr_count(fwd, price) AS n, round(regr_slope(fwd * 100, price / 1e6), 5) AS slope,
+@query("ols_line", f"""WITH {SERIES} SELECT series_id, CAST(regr_count(fwd, price) AS BIGINT) AS n, round(regr_slope(fwd * 100, price / 1e6), 5) AS slope,
  round(regr_intercept(fwd * 100, price / 1e6), 5) AS intercept, round(regr_slope(fwd * 100, price / 1e6), 5) AS slope_normal FROM m GROUP BY 1""")
 def ols_line(t):
     m = month_table(t).select("series_id", (c("price") / 1e6).alias("x"), (c("fwd") * 100).alias("y"))

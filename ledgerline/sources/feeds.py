@@ -175,3 +175,48 @@ def daily_values(t) -> DataFrame:
     return t.orders.groupBy(F.col("o_orderstatus").alias("series_id"), F.col("o_orderdate").cast("date").alias("day")).agg(
         (F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) / 100).alias("value")
     )
+
+
+def order_baskets(t) -> tuple[DataFrame, DataFrame]:
+    """Orders as transactions, and line counts per order and part type."""
+    from ..operators.joins import lookup_join
+
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("day"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    types = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category"))
+    lines = lookup_join(t.lineitem.select("l_orderkey", "l_partkey", "l_discount"), types, "l_partkey")
+    per_order = lines.groupBy(F.col("l_orderkey").alias("order_id"), "category").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_discount") > 0.05).alias("promo"))
+    return orders, per_order
+
+
+CHURN_CUT = "2000-08-01"
+CHURN_NUMERIC = ["recency", "tenure", "n_orders", "total", "average"]
+CHURN_CATEGORICAL = ["c_mktsegment", "nation", "in_debt"]
+
+
+def churn_table(t) -> DataFrame:
+    """Customer features up to a cut-off date; label 1 = no order in the 180 days after it."""
+    cut = F.lit(CHURN_CUT).cast("date")
+    day = F.col("o_orderdate").cast("date")
+    before = day <= cut
+    after = (day > cut) & (F.date_diff(day, cut) <= 180)
+    facts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.max(F.when(before, day)).alias("_last"), F.min(F.when(before, day)).alias("_first"),
+        F.count_if(before).cast("double").alias("n_orders"),
+        F.coalesce(F.sum(F.when(before, F.col("o_totalprice"))), F.lit(0.0)).alias("total"), F.count_if(after).alias("_after"))
+    joined = t.customer.join(facts, "c_custkey").filter("n_orders > 0")
+    return joined.select(
+        F.col("c_custkey").alias("id"), "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"),
+        F.when(F.col("c_acctbal") < 0, "yes").otherwise("no").alias("in_debt"),
+        F.date_diff(cut, "_last").cast("double").alias("recency"), F.date_diff(cut, "_first").cast("double").alias("tenure"),
+        "n_orders", F.round("total", 2).alias("total"), F.round(F.col("total") / F.col("n_orders"), 2).alias("average"),
+        (F.col("_after") == 0).cast("int").alias("label"))
+
+
+def messages(t) -> DataFrame:
+    """Labelled texts: ``doc_id, text, label`` (1 = toxic)."""
+    from ..operators.joins import lookup_join
+
+    return lookup_join(t.documents.select("doc_id", "text"), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
