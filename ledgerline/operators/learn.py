@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (IDF, ElementwiseProduct, HashingTF, Normalizer, OneHotEncoder, SQLTransformer, StandardScaler,
@@ -12,12 +13,12 @@ from pyspark.ml.feature import (IDF, ElementwiseProduct, HashingTF, Normalizer,
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialised
+from ..session import materialised, sized
 from .ordered import hash_rank, running_totals
-from . import metrics
+from .textmine import vector_entries
 
 # ---------------------------------------------------------------- splits
 
@@ -73,7 +74,7 @@ def fit_logreg(train: DataFrame, label: str = "label", features: str = "features
     rows = balanced_weight(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     strength = reg if reg is not None else 1.0 / (c_value * max(1, train.count()))
     return LogisticRegression(labelCol=label, featuresCol=features, weightCol="weight", regParam=strength, maxIter=100,
-                              standardization=False).fit(rows)
+                              tol=1e-4, standardization=False).fit(rows)
 
 
 def fit_forest(train: DataFrame, label: str = "label", features: str = "features", trees: int = 400, min_leaf: int = 8,
@@ -107,7 +108,7 @@ def cross_validate(df: DataFrame, models: dict[str, Fit], keep: list[str], k: in
     parts = []
     for name, fit in models.items():
         for fold in range(k):
-            model = fit(df.filter(F.col("fold") != fold))
+            model = fit(sized(df.filter(F.col("fold") != fold)))
             scored = probability(model.transform(df.filter(F.col("fold") == fold)))
             parts.append(scored.select(F.lit(name).alias("model"), "fold", *keep, "score"))
     return reduce(DataFrame.unionByName, parts)
@@ -200,8 +201,6 @@ def fit_text_features(train: DataFrame, terms: str, min_df: int = 2, dimensions:
     """
     hashing = HashingTF(inputCol=terms, outputCol="_tf", numFeatures=dimensions)
     model = IDF(inputCol="_tf", outputCol="_idf").fit(hashing.transform(train))
-    import numpy as np
-
     df = np.asarray(model.docFreq)
     scale = np.where(df >= min_df, model.idf.toArray() + 1.0, 0.0)
     weigh = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="_tf", outputCol="_tfidf")
@@ -210,6 +209,7 @@ def fit_text_features(train: DataFrame, terms: str, min_df: int = 2, dimensions:
 
 
 def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value: float = 8.0, min_df: int = 2) -> PipelineModel:
+    train = sized(train)
     features = fit_text_features(train, terms, min_df)
     model = fit_logreg(features.transform(train), label, balanced=False, c_value=c_value)
     return PipelineModel(stages=features.stages + [model])
@@ -217,10 +217,11 @@ def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value:
 
 def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: float = 1.0, min_df: int = 2) -> PipelineModel:
     """Linear SVM.  MLlib minimises the plain hinge loss, so its numbers differ from a squared-hinge solver's."""
+    train = sized(train)
     features = fit_text_features(train, terms, min_df)
     rows = features.transform(train)
     svm = LinearSVC(labelCol=label, featuresCol="features", regParam=1.0 / (c_value * max(1, rows.count())), maxIter=50,
-                    standardization=False).fit(rows)
+                    tol=1e-4, standardization=False).fit(rows)
     return PipelineModel(stages=features.stages + [svm])
 
 
@@ -247,8 +248,6 @@ def coefficient_table(model: Model, spark) -> DataFrame:
 
 def term_slots(vocab: DataFrame, hashing: HashingTF) -> DataFrame:
     """``term, idx``: the hash slot of every vocabulary term, computed by the same transformer."""
-    from .textmine import vector_entries
-
     one = vocab.select("term", F.array("term").alias(hashing.getInputCol()))
     return vector_entries(hashing.transform(one), hashing.getOutputCol(), ["term"]).select("term", "idx")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import sized
 from .ordered import exact_quantiles
 
 
@@ -26,16 +27,15 @@ def rfm_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """
     last = orders.agg(F.max("day").alias("_mx"))
     basket = orders.groupBy("customer_id").agg(
-        F.max("day").alias("_day"), F.count(F.lit(1)).alias("frequency"), (F.sum("cents") / 100).alias("monetary"),
-        (F.avg("cents") / 100).alias("avg_basket"))
+        F.max("day").alias("_day"), F.count(F.lit(1)).alias("frequency"), (F.sum("cents") / 100).alias("monetary"))
     per_category = (
         lines.join(orders.select("order_id", "customer_id"), "order_id")
         .groupBy("customer_id", "category").agg(F.sum("n").alias("n"), F.sum("promo").alias("promo")))
     mix = per_category.groupBy("customer_id").agg(
         F.try_divide(F.sum("promo").cast("double"), F.sum("n")).alias("promo_share"), F.count(F.lit(1)).alias("category_breadth"))
     return basket.join(F.broadcast(last)).join(mix, "customer_id", "left").select(
-        "customer_id", F.date_diff("_mx", "_day").alias("recency"), "frequency", "monetary", "avg_basket",
-        F.coalesce("promo_share", F.lit(0.0)).alias("promo_share"), F.coalesce("category_breadth", F.lit(0)).alias("category_breadth"))
+        "customer_id", F.date_diff("_mx", "_day").alias("recency"), "frequency", "monetary",
+        (F.col("monetary") / F.col("frequency")).alias("avg_basket"), F.coalesce("promo_share", F.lit(0.0)).alias("promo_share"), F.coalesce("category_breadth", F.lit(0)).alias("category_breadth"))
 
 
 def standardize(df: DataFrame, columns: list[str], log_columns: list[str]) -> DataFrame:
@@ -161,7 +161,7 @@ def pca_project(df: DataFrame, features: list[str], k: int = 2) -> DataFrame:
 
 def best_kmeans(df: DataFrame, k: int, starts: int = 5, seed: int = 42) -> KMeansModel:
     """K-means from several seeds, the one with the lowest cost; expects a ``features`` column."""
-    models = [KMeans(k=k, seed=seed + s, maxIter=50, tol=1e-6, initSteps=4).fit(df) for s in range(starts)]
+    models = [KMeans(k=k, seed=seed + s, maxIter=50, tol=1e-4, initSteps=2).fit(df) for s in range(starts)]
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -178,7 +178,7 @@ def inertia(labelled: DataFrame, features: list[str], centers: list[np.ndarray],
 
 def choose_k(df: DataFrame, features: list[str], ks: range = range(2, 9), starts: int = 2, seed: int = 42) -> DataFrame:
     """``k, silhouette, inertia, chosen``; the silhouette uses squared distances, as MLlib computes it without pairs."""
-    rows = assemble(df, features).select("features").persist()
+    rows = sized(assemble(df, features).select("features")).persist()
     found = []
     for k in ks:
         model = best_kmeans(rows, k, starts, seed)
@@ -192,7 +192,7 @@ def choose_k(df: DataFrame, features: list[str], ks: range = range(2, 9), starts
 def kmeans_labels(df: DataFrame, features: list[str], k: int, starts: int = 5, seed: int = 42) -> tuple[DataFrame, KMeansModel]:
     """Adds ``cluster``."""
     rows = assemble(df, features)
-    train = rows.select("features").persist()
+    train = sized(rows.select("features")).persist()
     model = best_kmeans(train, k, starts, seed)
     train.unpersist()
     return model.transform(rows).withColumnRenamed("prediction", "cluster").drop("features"), model
@@ -224,7 +224,7 @@ def ward_labels(df: DataFrame, features: list[str], k: int, micro: int = 150, se
     K-means reduces the rows to at most ``micro`` weighted centres; only those are merged.
     """
     rows = assemble(df, features)
-    model = KMeans(k=micro, seed=seed, maxIter=20).fit(rows.select("features"))
+    model = KMeans(k=micro, seed=seed, maxIter=20).fit(sized(rows.select("features")))
     centers = np.array(model.clusterCenters())
     sizes = np.maximum(np.array(model.summary.clusterSizes), 1)
     merged = ward_merge(centers, sizes, min(k, len(centers)))

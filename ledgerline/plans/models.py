@@ -6,12 +6,13 @@ Tree counts here are smaller than the library defaults, which are the ones to us
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import learn as L
 from ..operators import metrics as M
 from ..operators import panel as N
-from ..session import materialised
+from ..session import materialised, sized
 from ..sources import feeds as S
 from ..sources import lineage
 from .marts import feature_table
@@ -24,6 +25,7 @@ TREES, ROUNDS, FOLDS = 100, 30, 3
 def _with_features(fit):
     """A fit that learns the preprocessing from the same rows as the model."""
     def run(train):
+        train = sized(train)
         features = L.feature_pipeline(train, S.CHURN_NUMERIC, S.CHURN_CATEGORICAL)
         return PipelineModel(stages=features.stages + [fit(features.transform(train))])
     return run
@@ -51,9 +53,9 @@ def _fit_and_score(t, name):
    FROM (SELECT *, CAST(o_orderdate AS DATE) <= DATE '2000-08-01' AS b FROM orders) GROUP BY 1)
 SELECT c_custkey AS id, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_acctbal < 0 THEN 'yes' ELSE 'no' END AS in_debt,
  CAST(datediff('day', CAST(last AS DATE), DATE '2000-08-01') AS DOUBLE) AS recency, CAST(datediff('day', CAST(first AS DATE), DATE '2000-08-01') AS DOUBLE) AS tenure,
- CAST(n AS DOUBLE) AS n_orders, round(total, 2) AS total, round(total / n, 1) AS average, CAST(aft = 0 AS INTEGER) AS label FROM customer JOIN f ON c_custkey = o_custkey WHERE n > 0""")
+ CAST(n AS DOUBLE) AS n_orders, round(total, 2) AS total, round(total, 2) / n AS average, CAST(aft = 0 AS INTEGER) AS label FROM customer JOIN f ON c_custkey = o_custkey WHERE n > 0""")
 def churn_table(t):
-    return S.churn_table(t).withColumn("average", F.round("average", 1))
+    return S.churn_table(t)
 
 
 @query("stratified_split")
@@ -69,7 +71,6 @@ def stratified_folds(t):
 @query("feature_pipeline")
 def feature_pipeline(t):
     """Width and non-zero count of the encoded rows, fitted on the training part."""
-    from pyspark.ml.functions import vector_to_array
     rows = split(t)
     model = L.feature_pipeline(rows.filter("not is_test"), S.CHURN_NUMERIC, S.CHURN_CATEGORICAL)
     values = vector_to_array("features")
@@ -124,7 +125,7 @@ DEMAND_FEATURES = ["demand_lag1", "demand_lag2", "demand_lag3", "demand_ma3", "d
 def _demand(t):
     rows = materialised(feature_table(t).withColumn("id", F.concat_ws("|", c("nation").cast("string"), c("month_start").cast("string"))))
     train, test = N.split_by_date(rows, "month_start", "2000-06-01")
-    return rows, train, test, L.fit_demand(train, DEMAND_FEATURES, "target_next", rounds=ROUNDS, ident=["id"])
+    return rows, train, test, L.fit_demand(sized(train), DEMAND_FEATURES, "target_next", rounds=ROUNDS, ident=["id"])
 
 
 @query("demand_gbt")

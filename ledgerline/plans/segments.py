@@ -33,9 +33,9 @@ def scaled(t):
     return materialised(G.standardize(rfm(t), FEATURES, LOGGED))
 
 
-@query("rfm_features", f"WITH {RFM} SELECT customer_id, recency, frequency, monetary, round(avg_basket, 4) AS avg_basket, round(promo_share, 6) AS promo_share, category_breadth FROM rfm")
+@query("rfm_features", f"WITH {RFM} SELECT customer_id, recency, frequency, monetary, avg_basket, round(promo_share, 6) AS promo_share, category_breadth FROM rfm")
 def rfm_features(t):
-    return rfm(t).withColumns({"avg_basket": F.round("avg_basket", 4), "promo_share": F.round("promo_share", 6)})
+    return rfm(t).withColumn("promo_share", F.round("promo_share", 6))
 
 
 Z = ", ".join(f"round(COALESCE(({e} - avg({e}) OVER ()) / NULLIF(stddev_pop({e}) OVER (), 0), 0), 5) AS {f}" for f in FEATURES

@@ -32,7 +32,7 @@ def word_tokens(t):
     return counts(t)
 
 
-@query("word_ngrams", f"""WITH {WORDS}, g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS term FROM words),
+@query("word_ngrams", f"""WITH {WORDS}, g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
 tf AS (SELECT doc_id, term, count(*) AS n FROM g GROUP BY 1, 2)
 SELECT term, count(*) AS df, CAST(sum(n) AS BIGINT) AS total FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def word_ngrams(t):

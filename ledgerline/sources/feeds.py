@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
+from ..operators.joins import lookup_join
 
 FEED_COLUMNS = [
     "claim_id", "ndc", "drug_name_raw", "pharmacy_id", "state_raw", "patient_gender", "patient_age",
@@ -179,8 +180,6 @@ def daily_values(t) -> DataFrame:
 
 def order_baskets(t) -> tuple[DataFrame, DataFrame]:
     """Orders as transactions, and line counts per order and part type."""
-    from ..operators.joins import lookup_join
-
     orders = t.orders.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("day"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
@@ -211,12 +210,10 @@ def churn_table(t) -> DataFrame:
         F.col("c_custkey").alias("id"), "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"),
         F.when(F.col("c_acctbal") < 0, "yes").otherwise("no").alias("in_debt"),
         F.date_diff(cut, "_last").cast("double").alias("recency"), F.date_diff(cut, "_first").cast("double").alias("tenure"),
-        "n_orders", F.round("total", 2).alias("total"), F.round(F.col("total") / F.col("n_orders"), 2).alias("average"),
+        "n_orders", F.round("total", 2).alias("total"), (F.round("total", 2) / F.col("n_orders")).alias("average"),
         (F.col("_after") == 0).cast("int").alias("label"))
 
 
 def messages(t) -> DataFrame:
     """Labelled texts: ``doc_id, text, label`` (1 = toxic)."""
-    from ..operators.joins import lookup_join
-
     return lookup_join(t.documents.select("doc_id", "text"), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
