@@ -15,6 +15,17 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores before expensive row work.
+
+    A small file is often one unsplittable block read by a single task.  Frames
+    above ``SMALL_BYTES`` have blocks enough and are returned unshuffled.
+    """
+    if planned_bytes(df) > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def hot_keys(fact: DataFrame, keys: list[str], parts: int = HOT_PARTS) -> DataFrame:
     """Keys holding at least 1/parts of the rows.  There can be no more than ``parts`` of them."""
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

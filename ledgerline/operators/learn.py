@@ -69,11 +69,11 @@ def balanced_weight(df: DataFrame, label: str, name: str = "weight") -> DataFram
 
 
 def fit_logreg(train: DataFrame, label: str = "label", features: str = "features", reg: float | None = None,
-               balanced: bool = True, c_value: float = 1.0) -> Model:
+               balanced: bool = True, c_value: float = 1.0, max_iter: int = 100) -> Model:
     """L2 logistic regression; ``c_value`` is the inverse strength, turned into Spark's per-row average."""
     rows = balanced_weight(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     strength = reg if reg is not None else 1.0 / (c_value * max(1, train.count()))
-    return LogisticRegression(labelCol=label, featuresCol=features, weightCol="weight", regParam=strength, maxIter=100,
+    return LogisticRegression(labelCol=label, featuresCol=features, weightCol="weight", regParam=strength, maxIter=max_iter,
                               tol=1e-4, standardization=False).fit(rows)
 
 
@@ -208,19 +208,21 @@ def fit_text_features(train: DataFrame, terms: str, min_df: int = 2, dimensions:
     return PipelineModel(stages=[hashing, weigh, unit])
 
 
-def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value: float = 8.0, min_df: int = 2) -> PipelineModel:
+def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value: float = 8.0, min_df: int = 2,
+                    max_iter: int = 100) -> PipelineModel:
     train = sized(train)
     features = fit_text_features(train, terms, min_df)
-    model = fit_logreg(features.transform(train), label, balanced=False, c_value=c_value)
+    model = fit_logreg(features.transform(train), label, balanced=False, c_value=c_value, max_iter=max_iter)
     return PipelineModel(stages=features.stages + [model])
 
 
-def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: float = 1.0, min_df: int = 2) -> PipelineModel:
+def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: float = 1.0, min_df: int = 2,
+                 max_iter: int = 50) -> PipelineModel:
     """Linear SVM.  MLlib minimises the plain hinge loss, so its numbers differ from a squared-hinge solver's."""
     train = sized(train)
     features = fit_text_features(train, terms, min_df)
     rows = features.transform(train)
-    svm = LinearSVC(labelCol=label, featuresCol="features", regParam=1.0 / (c_value * max(1, rows.count())), maxIter=50,
+    svm = LinearSVC(labelCol=label, featuresCol="features", regParam=1.0 / (c_value * max(1, rows.count())), maxIter=max_iter,
                     tol=1e-4, standardization=False).fit(rows)
     return PipelineModel(stages=features.stages + [svm])
 

@@ -92,7 +92,7 @@ def pca_projection(t):
 
 @query("choose_k")
 def choose_k(t):
-    return G.choose_k(core(t), FEATURES)
+    return G.choose_k(core(t), FEATURES, starts=1)
 
 
 @query("kmeans")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import learn as L
 from ..operators import textmine as X
+from ..operators.joins import balanced
 from ..session import materialised
 from ..sources.feeds import messages
 from .registry import query
@@ -20,7 +21,7 @@ tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) A
 
 
 def counts(t):
-    return X.term_counts(t.documents, "doc_id", X.word_array("text"))
+    return X.term_counts(balanced(t.documents.select("doc_id", "text")), "doc_id", X.word_array("text"))
 
 
 def doc_count(df):
@@ -34,20 +35,20 @@ def word_tokens(t):
 
 @query("word_ngrams", f"""WITH {WORDS}, g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
 tf AS (SELECT doc_id, term, count(*) AS n FROM g GROUP BY 1, 2)
-SELECT term, count(*) AS df, CAST(sum(n) AS BIGINT) AS total FROM tf GROUP BY 1 HAVING count(*) >= 2""")
+SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def word_ngrams(t):
     """Words and word pairs occurring in at least two documents."""
-    return X.vocabulary(X.term_counts(t.documents, "doc_id", X.with_bigrams(X.word_array("text"))), 2)
+    return X.document_frequency(balanced(t.documents.select("text")), X.with_bigrams(X.word_array("text")), 2)
 
 
 @query("char_ngrams", r"""WITH w AS (SELECT doc_id, ' ' || word || ' ' AS p, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1, 2),
 s AS (SELECT doc_id, p, n, unnest(range(3, least(5, greatest(3, length(p))) + 1)) AS k FROM w),
 g AS (SELECT doc_id, n, substr(p, CAST(pos + 1 AS BIGINT), k) AS term FROM (SELECT *, unnest(range(0, greatest(length(p) - k, 0) + 1)) AS pos FROM s)),
 tf AS (SELECT doc_id, term, sum(n) AS tf FROM g GROUP BY 1, 2)
-SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY 1 HAVING count(*) >= 2""")
+SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def char_ngrams(t):
     """Character 3- to 5-grams within padded words, in at least two documents."""
-    return X.vocabulary(X.char_counts(t.documents, "doc_id", "text"), 2)
+    return X.document_frequency(balanced(t.documents.select("text")), X.char_gram_set("text"), 2)
 
 
 def document_weights(t):
@@ -99,7 +100,7 @@ def text_svm(t):
 @query("platt_calibrate")
 def platt_calibrate(t):
     rows = prepared(t)
-    return L.platt_calibrated(rows.filter("not is_test"), rows.filter("is_test"), lambda d: L.fit_text_svm(d, "chars"), "doc_id")
+    return L.platt_calibrated(rows.filter("not is_test"), rows.filter("is_test"), lambda d: L.fit_text_svm(d, "chars", max_iter=20), "doc_id")
 
 
 @query("text_cv_compare")
@@ -107,7 +108,7 @@ def text_cv_compare(t):
     """Cross-validated average precision of the text models."""
     rows = messages(t).select("doc_id", "label", X.with_bigrams(X.word_array("text")).alias("words"), X.char_gram_array("text").alias("chars"))
     folded = materialised(L.stratified_folds(rows, "doc_id", "label", 3))
-    models = {"logreg_word12": lambda d: L.fit_text_logreg(d, "words"), "svc_char35": lambda d: L.fit_text_svm(d, "chars")}
+    models = {"logreg_word12": lambda d: L.fit_text_logreg(d, "words", max_iter=40), "svc_char35": lambda d: L.fit_text_svm(d, "chars", max_iter=20)}
     return L.compare_models(materialised(L.cross_validate(folded, models, ["label"], 3)))
 
 

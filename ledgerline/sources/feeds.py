@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
-from ..operators.joins import lookup_join
+from ..operators.joins import balanced, lookup_join
 
 FEED_COLUMNS = [
     "claim_id", "ndc", "drug_name_raw", "pharmacy_id", "state_raw", "patient_gender", "patient_age",
@@ -46,7 +46,7 @@ def messy_feed(t) -> DataFrame:
     6 and 9 dates, 7 duration, 8 prescriber, 11 price shift, 20 exact copy, 21 resubmission.
     """
     c = F.col
-    line = t.lineitem.join(
+    line = balanced(t.lineitem.drop("l_discount", "l_tax", "l_returnflag", "l_linestatus")).join(
         t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey"), "l_orderkey"
     ).select(
         "*",
@@ -81,7 +81,7 @@ def messy_feed(t) -> DataFrame:
         F.when(d == 20, F.array(F.lit(""), F.lit(""))).when(d == 21, F.array(F.lit(""), F.lit("-R")))
         .otherwise(F.array(F.lit(""))).alias("_rows"),
     )
-    spread = base.select("*", F.explode("_rows").alias("_suffix"))
+    spread = base.select("*", F.explode_outer("_rows").alias("_suffix"))
     return spread.withColumn("claim_id", F.concat("claim_id", "_suffix")).select(*FEED_COLUMNS)
 
 
@@ -216,4 +216,4 @@ def churn_table(t) -> DataFrame:
 
 def messages(t) -> DataFrame:
     """Labelled texts: ``doc_id, text, label`` (1 = toxic)."""
-    return lookup_join(t.documents.select("doc_id", "text"), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    return lookup_join(balanced(t.documents.select("doc_id", "text")), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
