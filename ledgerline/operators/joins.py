@@ -15,15 +15,16 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a small scan over all cores before expensive row work.
 
     A small file is often one unsplittable block read by a single task.  Frames
-    above ``SMALL_BYTES`` have blocks enough and are returned unshuffled.
+    above ``SMALL_BYTES`` have blocks enough and are returned unshuffled.  The keys
+    should identify a row: rows are placed by their hash, the same way on a retry.
     """
     if planned_bytes(df) > SMALL_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def hot_keys(fact: DataFrame, keys: list[str], parts: int = HOT_PARTS) -> DataFrame:

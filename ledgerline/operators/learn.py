@@ -53,8 +53,7 @@ def feature_pipeline(train: DataFrame, numeric: list[str], categorical: list[str
         stages.append(SQLTransformer(statement=f"SELECT *, {cells} FROM __THIS__"))
     if many:
         # The extra slot for unseen values is last and therefore the one that is dropped.
-        stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in many], outputCols=[f"{c}_hot" for c in many], dropLast=True,
-                                    handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in many], outputCols=[f"{c}_hot" for c in many], dropLast=True))
     stages.append(VectorAssembler(inputCols=numeric, outputCol="_num", handleInvalid="error"))
     stages.append(StandardScaler(inputCol="_num", outputCol="_scaled", withMean=True, withStd=True))
     stages.append(VectorAssembler(inputCols=["_scaled"] + [f"{c}_bin" for c in binary] + [f"{c}_hot" for c in many], outputCol=out))
@@ -229,7 +228,7 @@ def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: fl
 
 def platt_calibrated(train: DataFrame, test: DataFrame, fit: Fit, ident: str, label: str = "label", k: int = 3, seed: int = 42) -> DataFrame:
     """Averaged calibrated probabilities: each fold's model is calibrated on the rows it did not see."""
-    folded = materialised(stratified_folds(train, ident, label, k, seed))
+    folded = stratified_folds(train, ident, label, k, seed)
     parts = []
     for fold in range(k):
         model = fit(folded.filter(F.col("fold") != fold))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoints, shuffle_width
 
-HASH_BUCKETS = 256
 
 
 def range_bounds(df: DataFrame, value: str, parts: int | None = None) -> list[float]:
@@ -101,7 +100,12 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
             F.least(low_rank(p) + 1, F.col("_n") - 1), "_lo", "_c"
         )
     cells = hist.filter(wanted).select(*keys, "_b", "_n", "_lo")
-    values = tagged.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_m")).join(cells, keys + ["_b"])
+    if by:
+        values = tagged.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_m")).join(cells, keys + ["_b"])
+    else:
+        # At most two cells per quantile: rows elsewhere are dropped before anything is shuffled.
+        near = tagged.join(F.broadcast(cells), keys + ["_b"])
+        values = near.groupBy(*keys, "_b", "_v", "_n", "_lo").agg(F.count(F.lit(1)).alias("_m"))
     inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     values = values.withColumn("_first", F.col("_lo") + F.sum("_m").over(inside) - F.col("_m"))
     picks = []
@@ -166,11 +170,13 @@ def global_number(df: DataFrame, order: list[str | Column], name: str) -> DataFr
 def hash_rank(df: DataFrame, by: list[str], ident: list[str], seed: int, name: str, total: str) -> DataFrame:
     """Rank rows of each group in a seeded random order, and add the group's size.
 
-    Order is that of a 64-bit hash of the identifying columns; its high bits
-    cut every group into ``HASH_BUCKETS`` even pieces, so a hot group is shared out.
+    Order is that of a 64-bit hash of the identifying columns; its high bits cut
+    every group into even pieces, as many as the cluster's shuffle setting calls
+    for, so a hot group is shared out.  The order does not depend on that number.
     """
+    bits = min(16, max(8, (2 * shuffle_width(df.sparkSession, 32768)).bit_length()))
     hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in ident])).withColumn(
-        "_b", F.shiftright("_h", 56)
+        "_b", F.shiftright("_h", 64 - bits)
     )
     sizes = hashed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     group = Window.partitionBy(*by)

@@ -13,6 +13,7 @@ from ..operators import gates as G
 from ..operators import ledger as L
 from ..operators import profile as P
 from ..operators.joins import lookup_join
+from ..operators.series import guarded_corr
 from ..session import fresh_path
 from ..sources import files, lineage
 from ..sources.feeds import FEED_COLUMNS, messy_feed, product_master, site_master
@@ -374,7 +375,7 @@ def cross_source_corr(t):
     """Two sources aggregated on their own to the common grain, then joined and correlated."""
     a = t.orders.groupBy(D.month_of("o_orderdate").alias("m")).agg(F.sum("o_totalprice").alias("a"))
     b = t.lineitem.groupBy(D.month_of("l_shipdate").alias("m")).agg(F.sum("l_extendedprice").alias("b"))
-    return a.join(b, "m").agg(F.count(F.lit(1)).alias("months"), F.round(F.corr("a", "b"), 6).alias("corr"))
+    return a.join(b, "m").agg(F.count(F.lit(1)).alias("months"), F.round(guarded_corr("a", "b"), 6).alias("corr"))
 
 
 @query("join_residual", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(price_c AS DOUBLE) / 100 AS price FROM ({PRICE_CENTS}) WHERE price_c > 20 * ref_c""")

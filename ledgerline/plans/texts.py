@@ -21,7 +21,7 @@ tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) A
 
 
 def counts(t):
-    return X.term_counts(balanced(t.documents.select("doc_id", "text")), "doc_id", X.word_array("text"))
+    return X.term_counts(balanced(t.documents.select("doc_id", "text"), "doc_id"), "doc_id", X.word_array("text"))
 
 
 def doc_count(df):
@@ -38,7 +38,7 @@ tf AS (SELECT doc_id, term, count(*) AS n FROM g GROUP BY 1, 2)
 SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def word_ngrams(t):
     """Words and word pairs occurring in at least two documents."""
-    return X.document_frequency(balanced(t.documents.select("text")), X.with_bigrams(X.word_array("text")), 2)
+    return X.document_frequency(balanced(t.documents.select("doc_id", "text"), "doc_id"), X.with_bigrams(X.word_array("text")), 2)
 
 
 @query("char_ngrams", r"""WITH w AS (SELECT doc_id, ' ' || word || ' ' AS p, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1, 2),
@@ -48,7 +48,7 @@ tf AS (SELECT doc_id, term, sum(n) AS tf FROM g GROUP BY 1, 2)
 SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def char_ngrams(t):
     """Character 3- to 5-grams within padded words, in at least two documents."""
-    return X.document_frequency(balanced(t.documents.select("text")), X.char_gram_set("text"), 2)
+    return X.document_frequency(balanced(t.documents.select("doc_id", "text"), "doc_id"), X.char_gram_set("text"), 2)
 
 
 def document_weights(t):
@@ -77,10 +77,14 @@ def nb_score(t):
     return scored.withColumn("score", F.round("score", 5))
 
 
+def with_terms(rows):
+    """Term arrays as columns, built on the fly: only the texts themselves are ever written."""
+    return rows.withColumns({"words": X.with_bigrams(X.word_array("text")), "chars": X.char_gram_array("text")})
+
+
 def prepared(t):
-    """Labelled texts with their term arrays and a stratified 80/20 split, written once for the fits."""
-    rows = messages(t).select("doc_id", "label", X.with_bigrams(X.word_array("text")).alias("words"), X.char_gram_array("text").alias("chars"))
-    return materialised(L.stratified_split(rows, "doc_id", "label"))
+    """Labelled texts with a stratified 80/20 split, written once for the fits."""
+    return with_terms(materialised(L.stratified_split(messages(t), "doc_id", "label")))
 
 
 @query("text_logreg")
@@ -106,8 +110,7 @@ def platt_calibrate(t):
 @query("text_cv_compare")
 def text_cv_compare(t):
     """Cross-validated average precision of the text models."""
-    rows = messages(t).select("doc_id", "label", X.with_bigrams(X.word_array("text")).alias("words"), X.char_gram_array("text").alias("chars"))
-    folded = materialised(L.stratified_folds(rows, "doc_id", "label", 3))
+    folded = with_terms(materialised(L.stratified_folds(messages(t), "doc_id", "label", 3)))
     models = {"logreg_word12": lambda d: L.fit_text_logreg(d, "words", max_iter=40), "svc_char35": lambda d: L.fit_text_svm(d, "chars", max_iter=20)}
     return L.compare_models(materialised(L.cross_validate(folded, models, ["label"], 3)))
 

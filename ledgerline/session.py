@@ -36,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if spark.sparkContext.getCheckpointDir():
+        return spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     path = tempfile.mkdtemp(prefix="ledgerline-")
@@ -61,7 +63,7 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shuffle_width(spark: SparkSession, ceiling: int = 1024) -> int:
+def shuffle_width(spark: SparkSession, ceiling: int = 512) -> int:
     """How many range buckets to cut ordered work into: follows the cluster's own setting."""
     return max(4, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
 

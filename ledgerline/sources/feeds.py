@@ -46,7 +46,7 @@ def messy_feed(t) -> DataFrame:
     6 and 9 dates, 7 duration, 8 prescriber, 11 price shift, 20 exact copy, 21 resubmission.
     """
     c = F.col
-    line = balanced(t.lineitem.drop("l_discount", "l_tax", "l_returnflag", "l_linestatus")).join(
+    line = balanced(t.lineitem.drop("l_discount", "l_tax", "l_returnflag", "l_linestatus"), "l_orderkey", "l_linenumber").join(
         t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey"), "l_orderkey"
     ).select(
         "*",
@@ -216,4 +216,4 @@ def churn_table(t) -> DataFrame:
 
 def messages(t) -> DataFrame:
     """Labelled texts: ``doc_id, text, label`` (1 = toxic)."""
-    return lookup_join(balanced(t.documents.select("doc_id", "text")), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    return lookup_join(balanced(t.documents.select("doc_id", "text"), "doc_id"), t.labels.select("doc_id", F.col("toxic").alias("label")), "doc_id")
