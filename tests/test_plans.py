@@ -5,10 +5,10 @@ import io
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import SF
 from ledgerline.operators.clean import keep_first
 from ledgerline.operators.joins import lookup_join
-from ledgerline.plans.registry import QUERIES
 
 
 def plan(df) -> str:
@@ -36,4 +36,4 @@ def test_small_lookup_is_broadcast(tables):
 
 def test_no_cartesian_products(spark):
     for name in ("clean_fact", "rule_ledger", "entity_kpis", "panel_features", "tfidf", "acf", "aa_replay", "rfm_features"):
-        assert "CartesianProduct" not in plan(QUERIES[name](spark, SF)), name
+        assert "CartesianProduct" not in plan(entry.queries()[name](spark, SF)), name
