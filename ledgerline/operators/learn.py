@@ -105,11 +105,14 @@ def cross_validate(df: DataFrame, models: dict[str, Fit], keep: list[str], k: in
     Everything a model fits, preprocessing included, sees the other folds only.
     """
     parts = []
+    df = df.persist()
     for name, fit in models.items():
         for fold in range(k):
             model = fit(sized(df.filter(F.col("fold") != fold)))
             scored = probability(model.transform(df.filter(F.col("fold") == fold)))
-            parts.append(scored.select(F.lit(name).alias("model"), "fold", *keep, "score"))
+            # Written at once: later metrics must not run the model again.
+            parts.append(materialised(scored.select(F.lit(name).alias("model"), "fold", *keep, "score")))
+    df.unpersist()
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -228,15 +231,16 @@ def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: fl
 
 def platt_calibrated(train: DataFrame, test: DataFrame, fit: Fit, ident: str, label: str = "label", k: int = 3, seed: int = 42) -> DataFrame:
     """Averaged calibrated probabilities: each fold's model is calibrated on the rows it did not see."""
-    folded = stratified_folds(train, ident, label, k, seed)
+    folded = stratified_folds(train, ident, label, k, seed).persist()
     parts = []
     for fold in range(k):
         model = fit(folded.filter(F.col("fold") != fold))
         margin = VectorAssembler(inputCols=["score"], outputCol="margin")
         held = margin.transform(probability(model.transform(folded.filter(F.col("fold") == fold))).select(ident, label, "score"))
-        sigmoid = LogisticRegression(labelCol=label, featuresCol="margin", regParam=0.0).fit(held)
+        sigmoid = LogisticRegression(labelCol=label, featuresCol="margin", regParam=0.0, tol=1e-5).fit(sized(held))
         scored = margin.transform(probability(model.transform(test)).select(ident, label, "score"))
-        parts.append(sigmoid.transform(scored).select(ident, label, vector_to_array("probability")[1].alias("p")))
+        parts.append(materialised(sigmoid.transform(scored).select(ident, label, vector_to_array("probability")[1].alias("p"))))
+    folded.unpersist()
     return reduce(DataFrame.unionByName, parts).groupBy(ident, label).agg(F.avg("p").alias("score"))
 
 

@@ -97,7 +97,7 @@ def cv_compare(t):
     """Three model families under stratified cross-validation on the training part, best first."""
     train = split(t).filter("not is_test").drop("is_test")
     folded = materialised(L.stratified_folds(train, "id", "label", FOLDS))
-    return L.compare_models(materialised(L.cross_validate(folded, MODELS, ["label"], FOLDS)))
+    return L.compare_models(L.cross_validate(folded, MODELS, ["label"], FOLDS))
 
 
 @query("churn_economics")
@@ -106,7 +106,7 @@ def churn_economics(t):
     rows = split(t)
     folded = materialised(L.stratified_folds(rows.filter("not is_test").drop("is_test"), "id", "label", FOLDS))
     fit = {"logistic_regression": MODELS["logistic_regression"]}
-    best = M.best_threshold(M.profit_sweep(materialised(L.cross_validate(folded, fit, ["label"], FOLDS)))).first()["threshold"]
+    best = M.best_threshold(M.profit_sweep(L.cross_validate(folded, fit, ["label"], FOLDS))).first()["threshold"]
     test = L.probability(fit["logistic_regression"](rows.filter("not is_test")).transform(rows.filter("is_test")))
     table = M.confusion(test.select("label", "score"), float(best))
     return table.select(F.lit(float(best)).alias("threshold"), "*", (c("tp") * 240.0 - (c("tp") + c("fp")) * 50.0).alias("profit"))

@@ -112,7 +112,7 @@ def text_cv_compare(t):
     """Cross-validated average precision of the text models."""
     folded = with_terms(materialised(L.stratified_folds(messages(t), "doc_id", "label", 3)))
     models = {"logreg_word12": lambda d: L.fit_text_logreg(d, "words", max_iter=40), "svc_char35": lambda d: L.fit_text_svm(d, "chars", max_iter=20)}
-    return L.compare_models(materialised(L.cross_validate(folded, models, ["label"], 3)))
+    return L.compare_models(L.cross_validate(folded, models, ["label"], 3))
 
 
 @query("linear_score")
