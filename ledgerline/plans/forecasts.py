@@ -36,11 +36,11 @@ err AS (SELECT *, actual - pred AS err FROM fc)
 
 
 BASE = _baseline_sql(ORIGINS, HORIZON)
-SHOWN = "series_id, CAST(origin AS VARCHAR) AS origin, CAST(h AS INTEGER) AS h, CAST(day AS VARCHAR) AS day, round(actual, 3) AS actual, round(pred, 3) AS pred"
+SHOWN = "series_id, CAST(origin AS VARCHAR) AS origin, CAST(h AS INTEGER) AS h, CAST(day AS VARCHAR) AS day, actual, round(pred, 3) AS pred"
 
 
 def _shown(df):
-    return rnd(df.select("series_id", "origin", "h", "day", "actual", "pred"), 3)
+    return df.select("series_id", "origin", "h", "day", "actual", F.round("pred", 3).alias("pred"))
 
 
 def days(t):
@@ -53,9 +53,11 @@ def fc_climatology(t):
     return _shown(O.climatology(days(t), *KEYS, ORIGINS, HORIZON))
 
 
-@query("fc_seasonal_naive", f"WITH {BASE} SELECT {SHOWN} FROM err WHERE model = 'seasonal_naive'")
+@query("fc_seasonal_naive", f"""WITH {BASE} SELECT series_id, CAST(origin AS VARCHAR) AS origin, CAST(h AS INTEGER) AS h, CAST(day AS VARCHAR) AS day, actual, pred
+FROM err WHERE model = 'seasonal_naive'""")
 def fc_seasonal_naive(t):
-    return _shown(O.seasonal_naive(days(t), *KEYS, ORIGINS, HORIZON))
+    out = O.seasonal_naive(days(t), *KEYS, ORIGINS, HORIZON)
+    return out.select("series_id", "origin", "h", "day", "actual", "pred")
 
 
 @query("fc_holt")

@@ -42,7 +42,7 @@ prices AS (SELECT c_mktsegment AS series_id, CAST(date_trunc('month', o_orderdat
     CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS price, count(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 monthly AS (SELECT series_id, month, price, CASE WHEN month >= DATE '2001-06-01' THEN NULL ELSE CAST(n AS DOUBLE) END AS cpi,
-    CASE WHEN month >= DATE '2001-06-01' THEN NULL ELSE round(price / n, 2) END AS real_price,
+    CASE WHEN month >= DATE '2001-06-01' THEN NULL ELSE price / n END AS real_price,
     price / lag(price) OVER (PARTITION BY series_id ORDER BY month) - 1 AS monthly_return, CAST(year(month) AS INTEGER) AS year FROM prices)
 """
 

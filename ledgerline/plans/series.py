@@ -213,9 +213,9 @@ def densify_daily(t):
     return S.gap_count(S.densify_daily(daily_values(t), "series_id", "day", "value"), "series_id", "value")
 
 
-@query("interpolate_linear", f"WITH {DAILY} SELECT series_id, CAST(day AS VARCHAR) AS day, was_gap, round(value, 4) AS value FROM filled")
+@query("interpolate_linear", f"WITH {DAILY} SELECT series_id, CAST(day AS VARCHAR) AS day, was_gap, value FROM filled")
 def interpolate_linear(t):
-    return rnd(filled_days(t), 4)
+    return filled_days(t)
 
 
 @query("seasonal_decompose", f"""WITH {SERIES}, tr AS (SELECT series_id, month, moy, price, CASE WHEN count(*) OVER w = 13 THEN

@@ -154,7 +154,7 @@ def monthly_prices(t) -> DataFrame:
     return series.select(
         "series_id", "month", (F.col("cents") / 100).alias("price"),
         F.when(recent, 0.0).otherwise(F.col("n").cast("double")).alias("cpi"),
-        F.when(recent, 0.0).otherwise(F.round(F.col("cents") / 100 / F.col("n"), 2)).alias("real_price"),
+        F.when(recent, 0.0).otherwise(F.col("cents") / 100 / F.col("n")).alias("real_price"),
     )
 
 
