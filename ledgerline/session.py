@@ -63,6 +63,29 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+OWNED: list[str] = []
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written below the shared folder as Parquet and read again: cut lineage, known size.
+
+    The path is remembered, so that ``release`` can remove what the session's jobs have written.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    OWNED.append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables written by ``stored``; frames that still read them can't be used afterwards."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while OWNED:
+        path = jvm.org.apache.hadoop.fs.Path(OWNED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession, ceiling: int = 512) -> int:
     """How many range buckets to cut ordered work into: follows the cluster's own setting."""
     return max(4, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
