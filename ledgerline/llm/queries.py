@@ -58,3 +58,58 @@ def op5(t: SourceRegistry) -> DataFrame:
     from .token_counts import token_counts
 
     return token_counts(t.documents.select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
+
+
+# Words and windows as the operator cuts them, by another route: joins on the text of each window.
+OP4_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, list_aggregate(w[s:s + least(13, len(w)) - 1], 'string_agg', ' ') AS phrase
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+spot AS (SELECT rid, n, s, list_aggregate(w[s:s + n - 1], 'string_agg', ' ') AS phrase
+       FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM doc, sizes WHERE len(w) >= n)),
+hit AS (SELECT rid, spot.n, s, item_id FROM spot JOIN win USING (n, phrase)),
+word AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM hit) GROUP BY rid),
+name AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (rid) LEFT JOIN name USING (rid)
+"""
+
+
+@query("op4_phrase_decontamination", OP4_SQL)
+def op4(t: SourceRegistry) -> DataFrame:
+    """Benchmark passages in every document, by the positional index."""
+    from .phrase_index import contamination
+
+    return contamination(t.documents.select("doc_id", "text"), t.benchmark).drop("key")
+
+
+@query("op6_quality_rules")
+def op6(t: SourceRegistry) -> DataFrame:
+    """Rule votes, their weights by EM, and the verdict on every document."""
+    from .quality_rules import quality
+
+    wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "p_good", "kept"]
+    return quality(t.documents.select("doc_id", "text")).select("doc_id", *wanted)
+
+
+@query("op3_toxicity")
+def op3(t: SourceRegistry) -> DataFrame:
+    """Toxicity of every document by fuzzy lexicon hits in their windows."""
+    from .toxicity import toxicity
+
+    return toxicity(t.documents.select("doc_id", "text"), t.labels.select("doc_id", "toxic"))
+
+
+@query("op9_quality_classifier")
+def op9(t: SourceRegistry) -> DataFrame:
+    """Quality of every document by boosted trees over its statistics."""
+    from .quality_model import quality_scores
+
+    return quality_scores(t.documents.select("doc_id", "text"), t.labels.select("doc_id", "quality"))
