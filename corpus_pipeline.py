@@ -1,23 +1,55 @@
-"""The corpus pipeline: stages over the documents, each written as Parquet and read again by the next one.
+"""The corpus pipeline: five stages over the documents, each written as Parquet and read again by the next one.
 
-Filled in as the operators arrive.
+A stage gets the session, the documents its predecessor kept and the folder of the tables; it returns documents with
+all their columns, the last one with the draw of the mix added.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.llm.mixing import mix
+from ledgerline.llm.phrase_index import drop_contaminated
+from ledgerline.llm.pii import mask
+from ledgerline.llm.quality_rules import keep_good
+from ledgerline.llm.queries import MIX
 from ledgerline.llm.simhash import keep_one
 from ledgerline.session import stored
 from ledgerline.sources.tables import SourceRegistry
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or are more likely bad than good by the weighed rules, go."""
+    return keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
     return keep_one(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages beyond the allowed share go."""
+    return drop_contaminated(docs, SourceRegistry(spark, sf_dir).benchmark)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; n_chars follows the new text."""
+    masked = mask(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents drawn for the mix, with weight, probability and how many copies to train on."""
+    return mix(docs, MIX).filter("copies > 0")
+
+
+STAGES = [
+    ("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+    ("personal_data", personal_data), ("mixed", mixed),
+]
+#: EM, fingerprints and raking have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
