@@ -19,6 +19,7 @@ from ..session import stored
 from .common import text_key
 
 WINDOW = 13
+SIEVE = 1 << 18
 LETTERS = "".join(chr(c) for c in range(65, 91))
 BREAKS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 #: Stands for the end of a document in the index; no word is empty.  Its position is the number of words.
@@ -36,7 +37,10 @@ def build_index(docs: DataFrame, terms: DataFrame, ident: str = "doc_id") -> Dat
 
     Rows of one ident are told apart by ``key``, a hash of the text.  Written as Parquet, sorted by term in each part.
     """
-    wanted = terms.select("term").union(terms.sparkSession.createDataFrame([(END,)], "term string")).distinct()
+    # Written first: Spark then knows its size, and sends a small vocabulary to the tasks instead of shuffling every word.
+    wanted = stored(terms.select("term").union(terms.select(F.lit(END))).distinct(), "index-terms")
+    if wanted.isEmpty():
+        wanted = terms.sparkSession.createDataFrame([(END,)], "term string")
     words = F.concat(words_of(F.col("text")), F.array(F.lit(END)))
     postings = docs.select(F.col(ident).alias("doc"), text_key().alias("key"), F.posexplode(words).alias("pos", "term"))
     return stored(postings.join(wanted, "term", "left_semi").sortWithinPartitions("term", "doc", "key", "pos"), "postings")
@@ -90,8 +94,12 @@ def occurrences(terms: DataFrame, index: DataFrame, window: int = WINDOW) -> Dat
     found = alignments(pairs, index)
     places = found.select("item", "doc", "key", "shift", F.explode(F.sequence("first", "last")).alias("at")).distinct()
     asked = places.join(terms.select("item", "at", "term", "n"), ["item", "at"])
-    asked = asked.withColumn("pos", F.col("shift") + F.col("at"))
-    a, b = asked.alias("a"), index.filter(F.col("term") != END).alias("b")
+    asked = stored(asked.withColumn("pos", F.col("shift") + F.col("at")), "asked-places")
+    # A sieve of documents that are asked for: at most SIEVE numbers, so it may go to every task.
+    mesh = F.pmod("key", F.lit(SIEVE)).alias("mesh")
+    sieve = F.broadcast(asked.select(mesh).distinct())
+    sifted = index.filter(F.col("term") != END).withColumn("mesh", mesh).join(sieve, "mesh", "left_semi")
+    a, b = asked.alias("a"), sifted.alias("b")
     same = (F.col("a.key") == F.col("b.key")) & F.col("a.doc").eqNullSafe(F.col("b.doc"))
     same = same & (F.col("a.pos") == F.col("b.pos")) & (F.col("a.term") == F.col("b.term"))
     equal = a.join(b, same, "left_semi")
