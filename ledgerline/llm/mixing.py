@@ -18,25 +18,27 @@ from ..session import stored
 
 REST = "(rest)"
 DIMENSIONS = ("source", "lang", "topic")
-BLANK = "\t\n\x0b\x0c\r"
 
 
-def token_weight(text: Column) -> Column:
-    """Tokens of a text for weighing: its words, cut at white space; null has none."""
-    return F.size(F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), BLANK, " " * len(BLANK)), " "), "")).cast("long")
+def bytes_of(text: Column, sign: str) -> Column:
+    """How often a one-byte sign stands in a text; byte counts need no decoding."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
 
 
-def form_topic(text: Column) -> Column:
-    """A topic by the form of a text, for corpora without topics: tables and lists, numbers, talk, short or long prose."""
+def token_weight(text: Column) -> Column:
+    """Tokens of a text for weighing: its breaks (spaces and line ends) plus one; none if it is null or blank."""
     whole = F.coalesce(text, F.lit(""))
-    size = F.greatest(F.length(whole), F.lit(1))
+    breaks = bytes_of(whole, " ") + bytes_of(whole, "\n")
+    return F.when(F.octet_length(whole) > breaks, breaks + 1).otherwise(0).cast("long")
 
-    def share(signs: str) -> Column:
-        return (size - F.length(F.translate(whole, signs, ""))) / size
 
+def form_topic(text: Column) -> Column:
+    """A topic by the form of a text, for corpora without topics: tables, talk, and prose by length."""
+    whole = F.coalesce(text, F.lit(""))
+    size = F.octet_length(whole)
     return (
-        F.when(share("|\t") > 0.01, "table").when(share("0123456789") > 0.05, "numbers").when(share("!?") > 0.02, "talk")
-        .when(F.length(whole) < 1000, "short").when(F.length(whole) < 6000, "article").otherwise("long")
+        F.when(100 * bytes_of(whole, "|") > size, "table").when(50 * bytes_of(whole, "!") > size, "talk")
+        .when(size < 1000, "short").when(size < 6000, "article").otherwise("long")
     )
 
 

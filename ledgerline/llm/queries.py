@@ -199,7 +199,7 @@ def op10(t: SourceRegistry) -> DataFrame:
 MIX = {
     "source": {"src0": 0.20, "src1": 0.08, "src2": 0.08, "src3": 0.06, "src4": 0.06, "src5": 0.05},
     "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
-    "topic": {"table": 0.02, "numbers": 0.01, "talk": 0.02, "short": 0.15, "article": 0.50, "long": 0.30},
+    "topic": {"table": 0.03, "talk": 0.02, "short": 0.15, "article": 0.50, "long": 0.30},
 }
 
 
