@@ -85,7 +85,9 @@ def alignments(pairs: DataFrame, index: DataFrame) -> DataFrame:
         )
         found = part if found is None else found.union(part)
     both = found.groupBy(*place, "doc", "key", "shift").agg(F.bit_or("list").alias("lists"))
-    return both.filter("lists = 3 and shift + first >= 0").select("item", "doc", "key", "shift", "first", "last")
+    # Places before the document's first word can't match; the range starts after them.
+    first = F.greatest(F.col("first"), -F.col("shift"))
+    return both.filter("lists = 3").select("item", "doc", "key", "shift", first.alias("first"), "last").filter("first <= last")
 
 
 def occurrences(terms: DataFrame, index: DataFrame, window: int = WINDOW) -> DataFrame:
