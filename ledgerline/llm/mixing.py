@@ -62,7 +62,7 @@ def cell_counts(classed: DataFrame) -> DataFrame:
 def shares(cells: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
     """Adds the target share of each cell's class per dimension, scaled to the classes that occur.
 
-    A dimension without targets keeps its shares of tokens.  REST gets what its own target says, or else its share of tokens.
+    A dimension without targets keeps its shares of tokens.  REST gets what its own target says, or else what the others leave of 1.
     """
     total = Window.partitionBy(F.lit(1))
     whole = F.sum("tokens").over(total)
@@ -71,7 +71,8 @@ def shares(cells: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
         own = F.sum("tokens").over(Window.partitionBy(f"_{name}")) / whole
         goal = own
         if targets.get(name):
-            goal = F.when(F.col(f"_{name}") == REST, F.lit(targets[name].get(REST))) if REST in targets[name] else F.when(F.col(f"_{name}") == REST, own)
+            left = 1.0 - sum(v for k, v in targets[name].items() if k != REST)
+            goal = F.when(F.col(f"_{name}") == REST, F.lit(float(targets[name].get(REST, max(0.0, left)))))
             for key, value in targets[name].items():
                 if key != REST:
                     goal = goal.when(F.col(f"_{name}") == key, F.lit(float(value)))
@@ -128,7 +129,7 @@ def mix(
 ) -> DataFrame:
     """``docs`` with weight (of the document's cell in the mix), probability and copies: one row per input row.
 
-    ``targets`` maps source, lang and topic to shares of tokens.  Classes without a target share REST.  A document is wanted
+    ``targets`` maps source, lang and topic to shares of tokens.  Classes without a target share REST, and what the targets leave.  A document is wanted
     as often as its cell's rate says: the whole part always, one copy more with the rest as probability; ``probability`` is
     that of at least one copy.  So the expected tokens over all copies are ``share`` of the input's and meet every marginal.
     Documents without words (null and empty texts) have weight and probability 0 and no copies.  Repeated rows are drawn or
