@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .common import per_row, raw_text
-from .quality_rules import STATISTICS, statistics
+from .quality_rules import NAMES, statistics
 
 BINS, DEPTH, TREES, RATE, LEAST = 64, 4, 80, 0.15, 3.0
 #: Labelled rows that the fit uses; with more, a hash of the ident picks about as many.
 SAMPLE_ROWS = 20_000
-NAMES = [part.split()[0] for part in STATISTICS.split(", ")]
+
 FEATURES = [
     "log_words", "log_bytes", "word_length", "symbols", "symbol_words", "plain_words", "duplicate_lines", "repeated", "variety",
     "capitals", "marks", "ended_lines", "line_words", "digits", "beyond_ascii", "blanks", "punctuation", "controls",

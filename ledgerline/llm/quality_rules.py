@@ -89,11 +89,15 @@ def text_statistics(docs: DataFrame, ident: str = "doc_id") -> DataFrame:
     return per_row(keyed, [raw_text()], lambda: statistics, STATISTICS, [ident, "key"])
 
 
-def votes() -> list[Column]:
-    """A column per rule: 1 good, -1 bad, 0 abstains."""
+NAMES = [part.split()[0] for part in STATISTICS.split(", ")]
+VOTES = [f"v_{r[0]}" for r in RULES]
+
+
+def votes(place: str = "") -> list[Column]:
+    """A column per rule: 1 good, -1 bad, 0 abstains.  ``place`` leads the statistics' names, if they are in a struct."""
     out = []
     for name, value, bad, good in RULES:
-        v = F.expr(value)
+        v = F.expr(re.sub(rf"\b({'|'.join(NAMES)})\b", rf"{place}\1", value))
         is_bad, is_good = (v < bad, v >= good) if bad < good else (v >= bad, v <= good)
         out.append(F.when(is_bad, -1).when(is_good, 1).otherwise(0).alias(f"v_{name}"))
     return out
@@ -147,20 +151,43 @@ def quality(docs: DataFrame, ident: str = "doc_id", threshold: float = 0.5, min_
     row each; an empty table gives no rows; other columns are ignored.
     """
     stats = stored(text_statistics(docs, ident), "text-statistics")
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    names = [f"v_{r[0]}" for r in RULES]
-    voted = stats.withColumn("base_failed", failed).select("*", *votes())
-    # At most 3 ** len(RULES) rows, whatever the corpus.
-    counted = voted.filter("not base_failed").groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
-    model = estimate(sorted((tuple(r[c] for c in names), r["n"]) for r in counted))
-    odds = F.lit(math.log(model[0] / (1 - model[0])))
-    for name, (good, bad) in zip(names, weights(model)):
-        odds = odds + F.when(F.col(name) > 0, good).when(F.col(name) < 0, bad).otherwise(0.0)
-    judged = voted.withColumn("p_good", 1 / (1 + F.exp(-odds))).drop(*names)
+    voted = stats.withColumn("base_failed", base_failed(min_words, most_repeated)).select("*", *votes())
+    odds = log_odds(fitted(voted), [F.col(c) for c in VOTES])
+    judged = voted.withColumn("p_good", 1 / (1 + F.exp(-odds))).drop(*VOTES)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
 
 
-def keep_good(docs: DataFrame, ident: str = "doc_id", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns unchanged.  Rows of one ident are told apart by their text."""
-    judged = stored(quality(docs, ident, threshold).filter("not kept").select(F.col(ident).alias("_id"), F.col("key").alias("_key")).distinct(), "rejected")
-    return docs.join(judged, F.col(ident).eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+def base_failed(min_words: int, most_repeated: int, place: str = "") -> Column:
+    words, repeats = F.col(f"{place}n_words"), F.col(f"{place}n_repeat_words")
+    return (words < min_words) | (100 * repeats > most_repeated * words)
+
+
+def fitted(voted: DataFrame) -> Model:
+    """The model for rows with votes and ``base_failed``.  At most 3 ** len(RULES) counts reach the driver, whatever the corpus."""
+    counted = voted.filter("not base_failed").groupBy(*VOTES).agg(F.count(F.lit(1)).alias("n")).collect()
+    return estimate(sorted((tuple(r[c] for c in VOTES), r["n"]) for r in counted))
+
+
+def log_odds(model: Model, cast: list[Column]) -> Column:
+    odds = F.lit(math.log(model[0] / (1 - model[0])))
+    for vote, (good, bad) in zip(cast, weights(model)):
+        odds = odds + F.when(vote > 0, good).when(vote < 0, bad).otherwise(0.0)
+    return odds
+
+
+def keep_good(docs: DataFrame, threshold: float = 0.5, min_words: int = 50, most_repeated: int = 50) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns unchanged.
+
+    The verdict is a function of the row's own text once the model is fitted, so statistics are computed a second
+    time beside the rows rather than joined to them: no text is shuffled.
+    """
+    stats = per_row(docs, [raw_text()], lambda: statistics, STATISTICS)
+    model = fitted(stats.withColumn("base_failed", base_failed(min_words, most_repeated)).select("base_failed", *votes()))
+    kind = ", ".join(x.replace(" ", ":") for x in STATISTICS.split(", "))
+
+    def make():
+        return lambda raw: (dict(zip(NAMES, statistics(raw), strict=True)),)
+
+    beside = per_row(docs, [raw_text()], make, f"_quality struct<{kind}>", docs.columns)
+    good = log_odds(model, votes("_quality.")) >= math.log(threshold / (1 - threshold))
+    return beside.filter(~base_failed(min_words, most_repeated, "_quality.") & good).drop("_quality")

@@ -59,7 +59,11 @@ def test_verdicts(spark):
         assert got.kept == (not got.base_failed and got.p_good >= 0.5)
     kept = Q.keep_good(docs)
     assert kept.columns == docs.columns
-    assert kept.count() == sum(r.kept for r in rows)
+    want = [r for r in rows if r.kept]
+    got = kept.selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS key").collect()
+    assert sorted((r.doc_id, r.key) for r in got) == sorted((r.doc_id, r.key) for r in want)
+    clash = Q.keep_good(docs.selectExpr("doc_id", "text", "'x' AS n_words", "1 AS base_failed"))
+    assert clash.columns == ["doc_id", "text", "n_words", "base_failed"] and clash.count() == len(want)
     assert Q.quality(docs.limit(0)).count() == 0
 
 
