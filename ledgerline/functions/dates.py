@@ -12,6 +12,13 @@ DATE_FORMATS: tuple[tuple[str, str, str], ...] = (
     ("Text (DD-Mon-YYYY)", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
 )
 
+# Labels and full-width shapes of the storage census.  Parsing accepts one-digit parts too, the census doesn't.
+CENSUS_SHAPES: tuple[tuple[str, str], ...] = (
+    ("ISO (YYYY-MM-DD)", r"^\d{4}-\d{2}-\d{2}$"),
+    ("US (MM/DD/YYYY)", r"^\d{2}/\d{2}/\d{4}$"),
+    ("Text (DD-Mon-YYYY)", r"^\d{2}-[A-Za-z]{3}-\d{4}$"),
+)
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col

@@ -102,7 +102,7 @@ def daily_z(days: DataFrame) -> DataFrame:
     return cum.withColumn("z", z).withColumn("p", normal_sf(F.col("z")))
 
 
-def aa_replay(user_days: DataFrame, user: str, day: str, n: str, x: str, replays: int = 500, alpha: float = 0.05,
+def aa_replay(user_days: DataFrame, user: str, day: str, n: str, x: str, replays: int = 2000, alpha: float = 0.05,
               salt: int = 7) -> DataFrame:
     """False-positive rate of daily looks against one final look, by re-randomising real users.
 

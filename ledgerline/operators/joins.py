@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame
     """
     flagged = fact.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salts)).cast("int")
-    left = flagged.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    # A key with a NULL matches nothing, but its rows are shuffled like any other: they are spread as well.
+    open_key = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    left = flagged.withColumn("_salt", F.when(F.col("_hot") | open_key, salt).otherwise(0)).drop("_hot")
     marked = dim.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = marked.withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -106,7 +106,7 @@ def daily_z(t):
 def aa_replay(t):
     per_user = t.events.groupBy("user_id", c("ts").cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(c("event_type") == "purchase").alias("x"))
-    return X.aa_replay(per_user, "user_id", "day", "n", "x", replays=500)
+    return X.aa_replay(per_user, "user_id", "day", "n", "x", replays=2000)
 
 
 @query("bayes_ab", f"""WITH {ARMS}, q AS (SELECT xa + 1.0::DOUBLE AS a1, na - xa + 1.0::DOUBLE AS b1, xb + 1.0::DOUBLE AS a2, nb - xb + 1.0::DOUBLE AS b2 FROM arms),

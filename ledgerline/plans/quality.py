@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from ..functions.dates import DATE_FORMATS
+from ..functions.dates import CENSUS_SHAPES
 from ..functions.numbers import safe_double
 from ..operators import clean as C
 from ..operators import gates as G
@@ -50,14 +50,14 @@ def column_profile_approx(t):
 
 
 @query("format_census", rf"""WITH {FEED}
-SELECT CASE WHEN regexp_matches(date_filled, '^\d{{4}}-\d{{1,2}}-\d{{1,2}}$') THEN 'ISO (YYYY-MM-DD)'
-            WHEN regexp_matches(date_filled, '^\d{{1,2}}/\d{{1,2}}/\d{{4}}$') THEN 'US (MM/DD/YYYY)'
-            WHEN regexp_matches(date_filled, '^\d{{1,2}}-[A-Za-z]{{3}}-\d{{4}}$') THEN 'Text (DD-Mon-YYYY)'
+SELECT CASE WHEN regexp_matches(date_filled, '^\d{{4}}-\d{{2}}-\d{{2}}$') THEN 'ISO (YYYY-MM-DD)'
+            WHEN regexp_matches(date_filled, '^\d{{2}}/\d{{2}}/\d{{4}}$') THEN 'US (MM/DD/YYYY)'
+            WHEN regexp_matches(date_filled, '^\d{{2}}-[A-Za-z]{{3}}-\d{{4}}$') THEN 'Text (DD-Mon-YYYY)'
             ELSE 'Unrecognized' END AS format,
        count(*) AS rows, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct
 FROM feed GROUP BY 1""")
 def format_census(t):
-    return P.format_census(messy_feed(t), "date_filled", [(name, shape) for name, shape, _ in DATE_FORMATS])
+    return P.format_census(messy_feed(t), "date_filled", list(CENSUS_SHAPES))
 
 
 @query("value_census", f"""WITH {FEED}
