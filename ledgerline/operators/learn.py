@@ -7,16 +7,16 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (IDF, ElementwiseProduct, HashingTF, Normalizer, OneHotEncoder, SQLTransformer, StandardScaler,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer,
+                                StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialised, sized
+from ..session import materialised
 from .ordered import hash_rank, running_totals
 from .textmine import vector_entries
 
@@ -108,7 +108,7 @@ def cross_validate(df: DataFrame, models: dict[str, Fit], keep: list[str], k: in
     df = df.persist()
     for name, fit in models.items():
         for fold in range(k):
-            model = fit(sized(df.filter(F.col("fold") != fold)))
+            model = fit(df.filter(F.col("fold") != fold))
             scored = probability(model.transform(df.filter(F.col("fold") == fold)))
             # Written at once: later metrics must not run the model again.
             parts.append(materialised(scored.select(F.lit(name).alias("model"), "fold", *keep, "score")))
@@ -139,31 +139,29 @@ def compare_models(scored: DataFrame, label: str = "label") -> DataFrame:
 # ---------------------------------------------------------------- importance
 
 
-def shuffled_partner(df: DataFrame, ident: str, columns: list[str], seed: int, rows_per_block: int = 100_000) -> DataFrame:
-    """Adds ``_other``: the columns of another row, every row being used once.
+def shuffled_partner(df: DataFrame, ident: str, columns: list[str], seed: int, repeats: int = 1, rows_per_block: int = 100_000) -> DataFrame:
+    """``repeats`` copies of every row with ``repeat`` and ``_other``: the columns of another row, each row used once per repeat.
 
     Rows fall into random blocks; within a block two random orders are matched.
     The number of blocks follows the row count, so no task sorts everything.
     """
     blocks = max(1, df.count() // rows_per_block)
-    block = F.pmod(F.xxhash64(F.lit(seed), ident), F.lit(blocks))
-    base = df.withColumn("_blk", block)
-    left = hash_rank(base, ["_blk"], [ident], seed + 1, "_rank", "_size").drop("_size")
-    right = hash_rank(base.select("_blk", ident, F.struct(*columns).alias("_other")), ["_blk"], [ident], seed + 2, "_rank", "_size")
-    return left.join(right.select("_blk", "_rank", "_other"), ["_blk", "_rank"]).drop("_blk", "_rank")
+    base = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    base = base.withColumn("_blk", F.pmod(F.xxhash64(F.lit(seed), "repeat", ident), F.lit(blocks)))
+    group, order = ["repeat", "_blk"], [ident, "repeat"]
+    left = hash_rank(base, group, order, seed + 1, "_rank", "_size").drop("_size")
+    other = base.select(*group, ident, F.struct(*columns).alias("_other"))
+    right = hash_rank(other, group, order, seed + 2, "_rank", "_size")
+    return left.join(right.select(*group, "_rank", "_other"), [*group, "_rank"]).drop("_blk", "_rank")
 
 
 def permutation_importance(model: Transformer, df: DataFrame, ident: str, label: str, columns: list[str], repeats: int = 5,
                            seed: int = 0, regression: bool = False) -> DataFrame:
     """``feature, importance, spread``: loss of ROC-AUC (or rise of the mean absolute error) when a column is shuffled."""
-    frames = []
-    for r in range(repeats):
-        partner = shuffled_partner(df.select(ident, label, *columns), ident, columns, seed * 1000 + 10 * r)
-        each = partner.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns])))
-        swapped = each.select(ident, label, "feature", F.lit(r).alias("repeat"), *[
-            F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
-        frames.append(swapped)
-    permuted = reduce(DataFrame.unionByName, frames)
+    partner = shuffled_partner(df.select(ident, label, *columns), ident, columns, seed * 1000, repeats)
+    each = partner.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns])))
+    permuted = each.select(ident, label, "feature", "repeat", *[
+        F.when(F.col("feature") == c, F.col(f"_other.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
     if regression:
         def loss(rows: DataFrame, by: list[str]) -> DataFrame:
             return model.transform(rows).groupBy(*by).agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("loss"))
@@ -195,24 +193,28 @@ def fit_demand(train: DataFrame, features: list[str], target: str, rounds: int =
 # ---------------------------------------------------------------- text models
 
 
-def fit_text_features(train: DataFrame, terms: str, min_df: int = 2, dimensions: int = 1 << 18, out: str = "features") -> PipelineModel:
-    """Hashed term counts, smooth idf, unit length.  All terms take part; colliding ones share a slot.
+def fit_text_features(train: DataFrame, terms: str, min_df: int = 2, vocabulary: int = 1 << 22, out: str = "features") -> PipelineModel:
+    """Term counts over the exact vocabulary of the training rows, smooth idf, unit length.
 
-    MLlib's idf lacks the "+ 1" of the smooth form, so its values are raised
-    by one here, and slots below the document-frequency limit are set to 0.
+    A linear model holds one weight per term on the driver, so ``vocabulary`` bounds the terms: beyond it the most
+    frequent ones are used.  MLlib's idf lacks the "+ 1" of the smooth form, so its values are raised by one here.
     """
-    hashing = HashingTF(inputCol=terms, outputCol="_tf", numFeatures=dimensions)
-    model = IDF(inputCol="_tf", outputCol="_idf").fit(hashing.transform(train))
-    df = np.asarray(model.docFreq)
-    scale = np.where(df >= min_df, model.idf.toArray() + 1.0, 0.0)
-    weigh = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="_tf", outputCol="_tfidf")
+    counting = CountVectorizer(inputCol=terms, outputCol="_tf", minDF=float(min_df), vocabSize=vocabulary).fit(train)
+    model = IDF(inputCol="_tf", outputCol="_idf").fit(counting.transform(train))
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense(model.idf.toArray() + 1.0), inputCol="_tf", outputCol="_tfidf")
     unit = Normalizer(inputCol="_tfidf", outputCol=out, p=2.0)
-    return PipelineModel(stages=[hashing, weigh, unit])
+    return PipelineModel(stages=[counting, weigh, unit])
+
+
+def fit_text_bayes(train: DataFrame, terms: str, label: str = "label", min_df: int = 2) -> PipelineModel:
+    """Multinomial naive Bayes on the weighted terms, smoothing 1."""
+    features = fit_text_features(train, terms, min_df)
+    model = NaiveBayes(labelCol=label, featuresCol="features", smoothing=1.0, modelType="multinomial").fit(features.transform(train))
+    return PipelineModel(stages=features.stages + [model])
 
 
 def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value: float = 8.0, min_df: int = 2,
                     max_iter: int = 100) -> PipelineModel:
-    train = sized(train)
     features = fit_text_features(train, terms, min_df)
     model = fit_logreg(features.transform(train), label, balanced=False, c_value=c_value, max_iter=max_iter)
     return PipelineModel(stages=features.stages + [model])
@@ -221,7 +223,6 @@ def fit_text_logreg(train: DataFrame, terms: str, label: str = "label", c_value:
 def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: float = 1.0, min_df: int = 2,
                  max_iter: int = 50) -> PipelineModel:
     """Linear SVM.  MLlib minimises the plain hinge loss, so its numbers differ from a squared-hinge solver's."""
-    train = sized(train)
     features = fit_text_features(train, terms, min_df)
     rows = features.transform(train)
     svm = LinearSVC(labelCol=label, featuresCol="features", regParam=1.0 / (c_value * max(1, rows.count())), maxIter=max_iter,
@@ -237,7 +238,7 @@ def platt_calibrated(train: DataFrame, test: DataFrame, fit: Fit, ident: str, la
         model = fit(folded.filter(F.col("fold") != fold))
         margin = VectorAssembler(inputCols=["score"], outputCol="margin")
         held = margin.transform(probability(model.transform(folded.filter(F.col("fold") == fold))).select(ident, label, "score"))
-        sigmoid = LogisticRegression(labelCol=label, featuresCol="margin", regParam=0.0, tol=1e-5).fit(sized(held))
+        sigmoid = LogisticRegression(labelCol=label, featuresCol="margin", regParam=0.0, tol=1e-5).fit(held)
         scored = margin.transform(probability(model.transform(test)).select(ident, label, "score"))
         parts.append(materialised(sigmoid.transform(scored).select(ident, label, vector_to_array("probability")[1].alias("p"))))
     folded.unpersist()
@@ -245,16 +246,15 @@ def platt_calibrated(train: DataFrame, test: DataFrame, fit: Fit, ident: str, la
 
 
 def coefficient_table(model: Model, spark) -> DataFrame:
-    """``idx, coefficient`` of a linear model's non-zero weights; at most as many rows as hash slots."""
+    """``idx, coefficient`` of a linear model's non-zero weights; at most as many rows as vocabulary terms."""
     weights = model.coefficients.toArray()
     rows = [(int(i), float(weights[i])) for i in weights.nonzero()[0]]
     return spark.createDataFrame(rows, "idx int, coefficient double")
 
 
-def term_slots(vocab: DataFrame, hashing: HashingTF) -> DataFrame:
-    """``term, idx``: the hash slot of every vocabulary term, computed by the same transformer."""
-    one = vocab.select("term", F.array("term").alias(hashing.getInputCol()))
-    return vector_entries(hashing.transform(one), hashing.getOutputCol(), ["term"]).select("term", "idx")
+def term_slots(counting: CountVectorizerModel, spark) -> DataFrame:
+    """``term, idx``: the place of every vocabulary term in the feature vectors."""
+    return spark.createDataFrame([(term, i) for i, term in enumerate(counting.vocabulary)], "term string, idx int")
 
 
 def top_signals(terms: DataFrame, weight: str, n: int = 15) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import sized
 from .ordered import exact_quantiles
 
 
@@ -80,27 +79,28 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple
 def isolation_scores(df: DataFrame, ident: str, features: list[str], trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
     """Adds ``anomaly_score`` in (0, 1), higher being easier to isolate.
 
-    Subsampling is part of the method: a pool of trees x sample rows, picked by
-    hash, is all that reaches the driver; trees are grown in parallel from it, and
-    every row of the data is scored in Arrow batches.
+    Subsampling is part of the method: every tree draws ``sample`` rows of its own from all rows, those with the
+    lowest hashes of tree and row.  A cut of the hashes, well above what is needed, leaves a few hundred rows a tree
+    before they meet; each tree is then grown in a task, and every row of the data is scored in Arrow batches.
     """
-    spark = df.sparkSession
-    order = F.xxhash64(F.lit(seed), ident)
-    pool = df.select(*features, order.alias("_h")).orderBy("_h").limit(trees * sample).drop("_h").toPandas().to_numpy(dtype=float)
-    size = min(sample, len(pool))
+    total = df.count()
+    size = min(sample, total)
     limit = max(1, math.ceil(math.log2(max(2, size))))
-
-    def build(batches):
-        for pdf in batches:
-            for tree in pdf["id"]:
-                rng = np.random.default_rng([seed, int(tree)])
-                nodes = grow_tree(pool[rng.choice(len(pool), size, replace=False)], rng, limit)
-                yield pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "depth"]).assign(
-                    tree=int(tree), node=range(len(nodes)))
+    # Half as many again as wanted, and eight standard deviations: fewer than ``sample`` rows are out of the question.
+    share = min(1.0, (1.5 * sample + 8 * math.sqrt(sample)) / max(1, total))
+    number = F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), F.col(ident)), F.lit(1 << 52))
+    drawn = df.select(ident, *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("_h", number)
+    drawn = drawn.filter(F.col("_h") < int(share * (1 << 52))).select("tree", "_h", *features)
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = int(pdf["tree"].iloc[0])
+        picked = pdf.sort_values(["_h", *features]).head(size)[features].to_numpy(dtype=float)
+        nodes = grow_tree(picked, np.random.default_rng([seed, tree]), limit)
+        return pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "depth"]).assign(tree=tree, node=range(len(nodes)))
 
     schema = "feature int, cut double, left int, right int, depth double, tree long, node int"
     # At most trees x (2 x sample) nodes.
-    grown = spark.range(trees).mapInPandas(build, schema).toPandas().sort_values(["tree", "node"])
+    grown = drawn.groupBy("tree").applyInPandas(build, schema).toPandas().sort_values(["tree", "node"])
     forest = [tuple(g[c].to_numpy() for c in ("feature", "cut", "left", "right", "depth")) for _, g in grown.groupby("tree")]
     scale = _average_depth(size) or 1.0
 
@@ -178,7 +178,7 @@ def inertia(labelled: DataFrame, features: list[str], centers: list[np.ndarray],
 
 def choose_k(df: DataFrame, features: list[str], ks: range = range(2, 9), starts: int = 2, seed: int = 42) -> DataFrame:
     """``k, silhouette, inertia, chosen``; the silhouette uses squared distances, as MLlib computes it without pairs."""
-    rows = sized(assemble(df, features).select("features")).persist()
+    rows = assemble(df, features).select("features").persist()
     found = []
     for k in ks:
         model = best_kmeans(rows, k, starts, seed)
@@ -192,7 +192,7 @@ def choose_k(df: DataFrame, features: list[str], ks: range = range(2, 9), starts
 def kmeans_labels(df: DataFrame, features: list[str], k: int, starts: int = 5, seed: int = 42) -> tuple[DataFrame, KMeansModel]:
     """Adds ``cluster``."""
     rows = assemble(df, features)
-    train = sized(rows.select("features")).persist()
+    train = rows.select("features").persist()
     model = best_kmeans(train, k, starts, seed)
     train.unpersist()
     return model.transform(rows).withColumnRenamed("prediction", "cluster").drop("features"), model
@@ -224,7 +224,7 @@ def ward_labels(df: DataFrame, features: list[str], k: int, micro: int = 150, se
     K-means reduces the rows to at most ``micro`` weighted centres; only those are merged.
     """
     rows = assemble(df, features)
-    model = KMeans(k=micro, seed=seed, maxIter=20).fit(sized(rows.select("features")))
+    model = KMeans(k=micro, seed=seed, maxIter=20).fit(rows.select("features"))
     centers = np.array(model.clusterCenters())
     sizes = np.maximum(np.array(model.summary.clusterSizes), 1)
     merged = ward_merge(centers, sizes, min(k, len(centers)))

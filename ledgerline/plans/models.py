@@ -1,7 +1,4 @@
-"""Churn classifiers and the demand regressor, with splits, cross-validation and importance.
-
-Tree counts here are smaller than the library defaults, which are the ones to use on a cluster.
-"""
+"""Churn classifiers and the demand regressor, with splits, cross-validation and importance."""
 
 from __future__ import annotations
 
@@ -12,20 +9,19 @@ from pyspark.sql import functions as F
 from ..operators import learn as L
 from ..operators import metrics as M
 from ..operators import panel as N
-from ..session import materialised, sized
+from ..session import materialised
 from ..sources import feeds as S
 from ..sources import lineage
 from .marts import feature_table
 from .registry import query
 
 c = F.col
-TREES, ROUNDS, FOLDS = 100, 30, 3
+ROUNDS, FOLDS = 500, 5
 
 
 def _with_features(fit):
     """A fit that learns the preprocessing from the same rows as the model."""
     def run(train):
-        train = sized(train)
         features = L.feature_pipeline(train, S.CHURN_NUMERIC, S.CHURN_CATEGORICAL)
         return PipelineModel(stages=features.stages + [fit(features.transform(train))])
     return run
@@ -33,8 +29,8 @@ def _with_features(fit):
 
 MODELS = {
     "logistic_regression": _with_features(lambda d: L.fit_logreg(d)),
-    "random_forest": _with_features(lambda d: L.fit_forest(d, trees=TREES, depth=8)),
-    "gradient_boosting": _with_features(lambda d: L.fit_boosting(d, rounds=ROUNDS)),
+    "random_forest": _with_features(lambda d: L.fit_forest(d)),
+    "gradient_boosting": _with_features(lambda d: L.fit_boosting(d)),
 }
 
 
@@ -116,7 +112,7 @@ def churn_economics(t):
 def perm_importance(t):
     rows = split(t)
     model = MODELS["logistic_regression"](rows.filter("not is_test"))
-    return L.permutation_importance(model, rows.filter("is_test"), "id", "label", S.CHURN_NUMERIC + S.CHURN_CATEGORICAL, repeats=3)
+    return L.permutation_importance(model, rows.filter("is_test"), "id", "label", S.CHURN_NUMERIC + S.CHURN_CATEGORICAL, repeats=15)
 
 
 DEMAND_FEATURES = ["demand_lag1", "demand_lag2", "demand_lag3", "demand_ma3", "driver_lag1", "driver_lag2", "months_since_launch", "month_of_year"]
@@ -125,7 +121,7 @@ DEMAND_FEATURES = ["demand_lag1", "demand_lag2", "demand_lag3", "demand_ma3", "d
 def _demand(t):
     rows = materialised(feature_table(t).withColumn("id", F.concat_ws("|", c("nation").cast("string"), c("month_start").cast("string"))))
     train, test = N.split_by_date(rows, "month_start", "2000-06-01")
-    return rows, train, test, L.fit_demand(sized(train), DEMAND_FEATURES, "target_next", rounds=ROUNDS, ident=["id"])
+    return rows, train, test, L.fit_demand(train, DEMAND_FEATURES, "target_next", rounds=ROUNDS, ident=["id"])
 
 
 @query("demand_gbt")
@@ -138,7 +134,7 @@ def demand_gbt(t):
 @query("demand_importance")
 def demand_importance(t):
     _, _, test, model = _demand(t)
-    return L.permutation_importance(model, test, "id", "target_next", DEMAND_FEATURES, repeats=3, regression=True)
+    return L.permutation_importance(model, test, "id", "target_next", DEMAND_FEATURES, repeats=30, regression=True)
 
 
 @query("run_metadata")

@@ -12,6 +12,12 @@ from ..sources.feeds import messages
 from .registry import query
 
 c = F.col
+FOLDS = 5
+TEXT_MODELS = {
+    "logreg_word12": lambda d: L.fit_text_logreg(d, "words"),
+    "naive_bayes_word12": lambda d: L.fit_text_bayes(d, "words"),
+    "svc_char35": lambda d: L.fit_text_svm(d, "chars"),
+}
 
 WORDS = r"words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS w FROM documents)"
 TF = WORDS + ", tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM words) GROUP BY 1, 2)"
@@ -104,15 +110,15 @@ def text_svm(t):
 @query("platt_calibrate")
 def platt_calibrate(t):
     rows = prepared(t)
-    return L.platt_calibrated(rows.filter("not is_test"), rows.filter("is_test"), lambda d: L.fit_text_svm(d, "chars", max_iter=20), "doc_id")
+    return L.platt_calibrated(rows.filter("not is_test"), rows.filter("is_test"), lambda d: L.fit_text_svm(d, "chars"), "doc_id")
 
 
 @query("text_cv_compare")
 def text_cv_compare(t):
-    """Cross-validated average precision of the text models."""
-    folded = with_terms(materialised(L.stratified_folds(messages(t), "doc_id", "label", 3)))
-    models = {"logreg_word12": lambda d: L.fit_text_logreg(d, "words", max_iter=40), "svc_char35": lambda d: L.fit_text_svm(d, "chars", max_iter=20)}
-    return L.compare_models(L.cross_validate(folded, models, ["label"], 3))
+    """Three model families cross-validated on the training part only, best first."""
+    train = L.stratified_split(messages(t), "doc_id", "label").filter("not is_test").drop("is_test")
+    folded = with_terms(materialised(L.stratified_folds(train, "doc_id", "label", FOLDS)))
+    return L.compare_models(L.cross_validate(folded, TEXT_MODELS, ["label"], FOLDS))
 
 
 @query("linear_score")
@@ -133,6 +139,5 @@ def top_signals(t):
     """Strongest words and word pairs for either class in the interpretable model."""
     rows = prepared(t)
     model = L.fit_text_logreg(rows.filter("not is_test"), "words")
-    vocab = X.vocabulary(X.term_counts(rows.filter("not is_test"), "doc_id", c("words")), 2)
-    slots = L.term_slots(vocab, model.stages[0])
+    slots = L.term_slots(model.stages[0], t.spark)
     return L.top_signals(slots.join(L.coefficient_table(model.stages[-1], t.spark), "idx").select("term", "coefficient"), "coefficient")

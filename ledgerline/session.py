@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
@@ -89,11 +88,3 @@ def release(spark: SparkSession) -> None:
 def shuffle_width(spark: SparkSession, ceiling: int = 512) -> int:
     """How many range buckets to cut ordered work into: follows the cluster's own setting."""
     return max(4, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-
-
-def sized(df: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
-    """Fewer partitions for a small training frame, whose iterations would otherwise be all task overhead.
-
-    Only ever merges: with more rows than that per partition the frame is returned as it is.
-    """
-    return df.coalesce(max(1, math.ceil(df.count() / rows_per_part)))

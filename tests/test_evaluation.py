@@ -108,12 +108,12 @@ def test_tfidf_against_brute_force(spark):
             assert got[(d, w)] == pytest.approx(v / norm)
 
 
-def test_hashed_features_equal_long_tfidf(spark):
+def test_vector_features_equal_long_tfidf(spark):
     docs = [(1, "red red blue"), (2, "blue green"), (3, "red blue teal")]
     df = spark.createDataFrame(docs, "doc int, t string").withColumn("words", X.word_array("t"))
-    model = L.fit_text_features(df, "words", min_df=1, dimensions=1 << 16)
+    model = L.fit_text_features(df, "words", min_df=1)
     entries = X.vector_entries(model.transform(df), "features", ["doc"])
-    slots = L.term_slots(df.select(F.explode("words").alias("term")).distinct(), model.stages[0])
+    slots = L.term_slots(model.stages[0], spark)
     by_term = {(r.doc, r.term): r.value for r in entries.join(slots, "idx").collect()}
     counts = X.term_counts(df, "doc", F.col("words"))
     for r in X.tfidf(counts, "doc", X.vocabulary(counts), df.agg(F.count("*").alias("n"))).collect():
