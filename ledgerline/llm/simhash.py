@@ -15,6 +15,8 @@ copies of any size is one row here.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -25,26 +27,31 @@ from .common import per_row, raw_text, text_key, word_pieces
 
 SEGMENTS = 16
 MAX_DISTANCE = 2
+BLOCK = 1 << 15
 
 
-def fingerprint(raw: bytes, words: int = 3, seed: int = 42) -> int:
-    """Signed 64-bit fingerprint of a text; 0 for a text without words."""
-    counts, total, tail = np.zeros(64, dtype=np.int64), 0, []
+def shingle_hashes(raw: bytes, words: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles, repeats included, in blocks; a shorter text is one shingle, no words are none."""
+    tail, any_full = [], False
     for piece in word_pieces(raw.lower()):
         tokens = tail + piece
         shingles = [b" ".join(s) for s in zip(*(tokens[i:] for i in range(words)), strict=False)]
-        for start in range(0, len(shingles), 1 << 15):
-            part = shingles[start : start + (1 << 15)]
-            hashes = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in part), dtype="<u8", count=len(part))
-            counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        total += len(shingles)
+        for start in range(0, len(shingles), BLOCK):
+            part = shingles[start : start + BLOCK]
+            yield np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in part), dtype="<u8", count=len(part))
+        any_full = any_full or bool(shingles)
         tail = tokens[-(words - 1) :] if words > 1 else []
-    if not total:
-        if not tail:
-            return 0
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(tail), seed)], dtype="<u8")
-        return int(hashes.view("<i8")[0])
-    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
+    if tail and not any_full:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(tail), seed)], dtype="<u8")
+
+
+def fingerprint(raw: bytes, words: int = 3, seed: int = 42) -> int:
+    """Signed 64-bit fingerprint of a text; 0 for a text without words."""
+    counts, total = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(raw, words, seed):
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(hashes)
+    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0]) if total else 0
 
 
 def fingerprints(
@@ -144,25 +151,45 @@ def near_copies(
     )
 
 
-def component_names(marks: DataFrame, distance: int, ident: str) -> DataFrame:
-    """(fp, root, component_id) for every distinct fingerprint of ``marks``; root is a fingerprint."""
+def component_names(marks: DataFrame, distance: int, ident: str, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(fp, root, component_id) for every distinct fingerprint of ``marks``; root is a fingerprint.
+
+    ``more`` may add links (a, b) to those within ``distance``.
+    """
     nodes = stored(marks.groupBy("fp").agg(F.min(ident).alias("first")), "fingerprint-nodes")
-    top = stored(roots(near_pairs(nodes, distance)), "fingerprint-roots")
+    links = near_pairs(nodes, distance)
+    if more is not None:
+        links = more(stored(links, "fingerprint-links"))
+    top = stored(roots(links), "fingerprint-roots")
     placed = nodes.join(top.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     placed = stored(placed, "fingerprint-places")
     names = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "fingerprint-firsts")
     return stored(placed.select("fp", "root").join(names, "root").select("fp", "root", "component_id"), "fingerprint-names")
 
 
-def keep_one(docs: DataFrame, words: int = 3, distance: int = MAX_DISTANCE, seed: int = 42, ident: str = "doc_id") -> DataFrame:
+def keep_one(
+    docs: DataFrame, words: int = 3, distance: int = MAX_DISTANCE, seed: int = 42, ident: str = "doc_id", similar: float | None = None
+) -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged: one of each component of near copies.
 
+    With ``similar``, texts whose five-word shingles have that Jaccard similarity are linked as well (see shingle_links).
+
     It is the row with the smallest ident (null last), then the smallest hash of the text.  Rows that share both
     are repeated rows; of those the smallest by all columns stays.
     """
     keyed = docs.select(F.col(ident), "text", text_key().alias("_key"))
-    marks = stored(fingerprints(keyed, words, seed, ident, ["_key"]), "fingerprints")
-    names = component_names(marks, distance, ident)
+    if similar is None:
+        marks, more = stored(fingerprints(keyed, words, seed, ident, ["_key"]), "fingerprints"), None
+    else:
+        from .shingle_links import band_keys, with_similar
+
+        both = per_row(keyed, [raw_text()], lambda: lambda raw: (fingerprint(raw, words, seed), band_keys(raw)), "fp long, bands array<long>", [ident, "_key"])
+        marks = stored(both, "fingerprints")
+
+        def more(links: DataFrame) -> DataFrame:
+            return with_similar(docs, marks, links, similar)
+
+    names = component_names(marks, distance, ident, more)
     order = F.struct(F.col(ident).isNull().alias("no"), F.col(ident).alias("id"), F.col("_key").alias("key"))
     rows = marks.groupBy(ident, "_key", "fp").agg(F.count(F.lit(1)).alias("n")).join(names.select("fp", "root"), "fp")
     rows = stored(rows, "fingerprint-rows")
