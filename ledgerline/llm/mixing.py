@@ -92,13 +92,14 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], tolerance: floa
     Runs rounds of ``sweeps`` sweeps until the largest relative miss of a marginal is under ``tolerance``, or ``rounds`` are over
     (goals that contradict each other, as when a source has one language only).
     """
-    now = shares(cells, targets).withColumn("weight", F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(1))))
+    # One partition: cells are at most the combinations of named classes, and the sweeps then need no shuffle.
+    now = shares(cells.coalesce(1), targets).withColumn("weight", F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(1))))
     for _ in range(rounds):
         for _ in range(sweeps):
             for name in DIMENSIONS:
                 sums = F.sum("weight").over(Window.partitionBy(f"_{name}"))
                 now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * F.col(f"goal_{name}") / sums).otherwise(0.0))
-        now = stored(now, "raked-cells")
+        now = stored(now, "raked-cells").coalesce(1)
         if worst_miss(now) < tolerance:
             break
     return now
