@@ -25,8 +25,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return keep_one(docs)
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Linked are fingerprints at most 2 bits apart, and texts whose five-word shingles have a similarity of 0.8 or more.
+    """
+    return keep_one(docs, similar=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
