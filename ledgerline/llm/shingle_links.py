@@ -2,16 +2,21 @@
 
 One changed word in a few hundred already moves a SimHash fingerprint by about three bits, so near copies in the usual
 sense (Jaccard similarity of the five-word shingles at 0.8 or more) are mostly beyond the two bits that fingerprints
-link at.  A corpus that keeps one of each group needs them as well.  Texts are put into buckets by bands of minima
-under random hashes.  In a small bucket all pairs are compared; in a larger one a few leaders are compared with all
-members and then taken out, again and again, until the rest is one component or a turn has joined nothing.  A large
-bucket that joins nothing holds texts that share a passage, not copies; copies among them meet in their other buckets.
-So a group of copies of any size is joined by about as many comparisons as it has members, and all pairs are never made.
-The similarity itself is counted exactly over whole texts: no link is wrong, a few may be missed (README: measured).
+link at.  A corpus that keeps one of each group needs them as well.
+
+Two steps find them.  The first is a shortcut that joins large groups of copies without making all their pairs: texts are
+put into buckets by bands of minima under random hashes; in a small bucket all pairs are compared, in a larger one a few
+leaders are compared with all members and then taken out, turn by turn, until the rest is one component or a turn has not
+left fewer components than taking its leaders out does.  The second is exact: shingles are ordered, rarest first, and two
+texts at 0.8 must share one of the first fifth (plus one) of each; all such pairs that are not in one component yet and
+share enough of them are compared.  The similarity itself is counted exactly over whole texts: no link is wrong, and none
+is missing between components.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,6 +32,8 @@ SIMILAR = 0.8
 BANDS, DEPTH = 20, 4
 #: Buckets up to this size are compared in whole; in others so many components are drawn per turn.
 SMALL, LEADERS = 8, 4
+#: Frequent shingles are found in about so many texts, and at most so many are ranked; this sets the order, so costs, not results.
+RANKED_TEXTS, RANKED = 20_000, 1 << 18
 _random = np.random.default_rng(2024)
 FACTORS = _random.integers(0, 1 << 63, BANDS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _random.integers(0, 1 << 63, BANDS * DEPTH, dtype=np.uint64)
@@ -91,13 +98,76 @@ def compared(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
     return stored(judged.filter(F.col("same") >= similar).select(F.least("fp", "other_fp").alias("a"), F.greatest("fp", "other_fp").alias("b")), "band-links")
 
 
+def frequent(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the shingles most frequent in a sample of ``texts`` (_key, text) and in how many texts they stand."""
+    share = F.pmod(F.xxhash64(F.lit(3), "_key"), F.lit(1 << 30)) * F.lit(max(total, 1)) < F.lit(RANKED_TEXTS << 30)
+    sets = per_row(texts.filter(share), [raw_text()], lambda: lambda raw: (shingle_set(raw).view("<i8").tolist(),), "shingles array<long>")
+    counts = sets.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    top = counts.orderBy(F.desc("n"), "token").limit(RANKED).toPandas()
+    hashes, n = top["token"].to_numpy(dtype="<i8").view("<u8"), top["n"].to_numpy(dtype=np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+def least_shared(n: int, similar: float) -> int:
+    """How many of its ``n`` shingles a text shares at least with one as similar as that."""
+    return math.ceil(similar * n - 1e-9)
+
+
+def rarest(raw: bytes, hashes: np.ndarray, counts: np.ndarray, similar: float) -> tuple[list[int], int]:
+    """The rarest shingles of a text, one of which any text at ``similar`` has among its own; and how many it has in all."""
+    own = shingle_set(raw)
+    if not len(own):
+        return [], 0
+    weight = np.zeros(len(own), dtype=np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+        weight = np.where(hashes[at] == own, counts[at], 0)
+    first = np.lexsort((own, weight))[: len(own) - least_shared(len(own), similar) + 1]
+    return own[first].view("<i8").tolist(), len(own)
+
+
+def unmet(docs: DataFrame, texts: DataFrame, links: DataFrame, similar: float) -> DataFrame:
+    """(key, fp, other, other_fp): all pairs of ``texts`` (_key, fp) of different components that may reach ``similar``."""
+    keyed = docs.select(text_key().alias("_key"), "text")
+    hashes, counts = frequent(keyed, docs.count())
+    made = per_row(keyed, [raw_text()], lambda: lambda raw: rarest(raw, hashes, counts, similar), "tokens array<long>, n int", ["_key"])
+    # Exact copies are one text.
+    entries = made.groupBy("_key").agg(F.first("tokens").alias("tokens"), F.first("n").alias("n")).select("_key", "n", F.explode("tokens").alias("token"))
+    shared = entries.groupBy("token").agg(F.collect_list(F.struct("_key", "n")).alias("member")).filter(F.size("member") > 1)
+    shared = stored(shared, "prefix-shared").select("token", F.explode("member").alias("member")).select("token", "member.*")
+    top = stored(roots(links), "prefix-roots").withColumnRenamed("node", "fp")
+    placed = stored(texts.join(top, "fp", "left").select("_key", "fp", F.coalesce("root", "fp").alias("root")), "prefix-places")
+    members = shared.join(placed, "_key")
+    mixed = members.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    members = stored(members.join(mixed.select("token"), "token", "left_semi"), "prefix-members")
+    # A member meets the other components of its token first, then their members: those of one component never meet.
+    parts = members.select("token", F.col("root").alias("other_root")).distinct()
+    asked = members.join(parts, "token").filter(F.col("root") < F.col("other_root"))
+    others = members.select("token", F.col("root").alias("other_root"), F.col("_key").alias("other"), F.col("fp").alias("other_fp"), F.col("n").alias("other_n"))
+    near = F.least("n", "other_n") >= similar * F.greatest("n", "other_n") - 1e-9
+    met = asked.join(others, ["token", "other_root"]).filter(near)
+    pairs = met.groupBy(F.col("_key").alias("key"), "fp", "other", "other_fp", "n", "other_n").agg(F.count(F.lit(1)).alias("both"))
+    # Beyond those in both prefixes, a shared shingle stands behind one of the prefixes.
+    behind = F.greatest(*[F.ceil(similar * F.col(c) - 1e-9) - 1 for c in ("n", "other_n")])
+    enough = F.col("both") + behind >= similar / (1 + similar) * (F.col("n") + F.col("other_n")) - 1e-9
+    return pairs.filter(enough).select("key", "fp", "other", "other_fp")
+
+
 def with_similar(docs: DataFrame, marks: DataFrame, links: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``links`` (a, b) between fingerprints, and those that join texts at ``similar`` or more into one component.
+    """``links`` (a, b) between fingerprints, and those that join all texts at ``similar`` or more into one component.
 
     ``marks`` has _key (of the text), fp and bands, one row per document of ``docs``; exact copies are one text here.
     Null and empty texts have no bands (their fingerprints are equal).  Different texts under one 64-bit key and one
     fingerprint would be taken as one.
     """
+    links = banded(docs, marks, links, similar)
+    pairs = unmet(docs, marks.select("_key", "fp").distinct(), links, similar)
+    return links.union(compared(docs, stored(pairs, "prefix-pairs"), similar))
+
+
+def banded(docs: DataFrame, marks: DataFrame, links: DataFrame, similar: float) -> DataFrame:
+    """``links`` and those at ``similar`` or more that the bands show; crowded buckets may lose some."""
     texts = marks.groupBy("_key", "fp").agg(F.first("bands").alias("bands"))
     entries = texts.select("_key", "fp", F.explode("bands").alias("band"))
     sizes = stored(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-sizes")

@@ -72,6 +72,38 @@ def test_chance_of_a_shared_band():
     assert missed == 0
 
 
+def kept_by_brute_force(rows):
+    marks = [S.fingerprint(t.encode()) % (1 << 64) for _, t in rows]
+    sets = [slow_shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            near = len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            if (near or (marks[i] ^ marks[j]).bit_count() <= 2) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    return sorted(min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in set(group))
+
+
+@pytest.mark.parametrize("bands", ["one bucket", "no bucket"])
+def test_pairs_among_texts_that_share_a_passage(spark, monkeypatch, bands):
+    """120 pairs of copies and 60 single texts, all with one passage; the bands put all into one bucket, or show nothing."""
+    pick = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(120))
+    rows = []
+    for g in range(180):
+        own = [f"own{g}x{i}" for i in range(40)]
+        for k in range(2 if g < 120 else 1):
+            copy = list(own)
+            if k:
+                copy[pick.randrange(36)] = f"changed{g}"
+            rows.append((len(rows), passage + " " + " ".join(copy)))
+    pick.shuffle(rows)
+    made = [7] if bands == "one bucket" else []
+    monkeypatch.setattr(L, "band_keys", lambda raw: made)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.keep_one(df, similar=0.8).collect()) == kept_by_brute_force(rows)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
     assert [r.doc_id for r in S.keep_one(df, similar=0.8).collect()] == [1]
