@@ -15,6 +15,8 @@ from .series import rnd
 c = F.col
 FEATURES = ["recency", "frequency", "monetary", "avg_basket", "promo_share", "category_breadth"]
 LOGGED = ["frequency", "monetary", "avg_basket"]
+#: Starts per K while K is chosen, for the clusters themselves, and for those held against the rule segments.
+K_STARTS, STARTS, RULE_STARTS = 20, 50, 25
 
 RFM = """
 o AS (SELECT o_custkey AS customer_id, count(*) AS frequency, datediff('day', CAST(max(o_orderdate) AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)) AS recency,
@@ -92,30 +94,42 @@ def pca_projection(t):
 
 @query("choose_k")
 def choose_k(t):
-    return G.choose_k(core(t), FEATURES, starts=1)
+    return G.choose_k(core(t), FEATURES, starts=K_STARTS)
+
+
+def chosen_k(rows, features):
+    return G.choose_k(rows, features, starts=K_STARTS).filter("chosen").first().k
+
+
+def clustered(t):
+    """Rows with ``cluster``, the model and the K that the silhouette chose."""
+    rows = core(t)
+    k = chosen_k(rows, FEATURES)
+    return *G.kmeans_labels(rows, FEATURES, k, STARTS), k
 
 
 @query("kmeans")
 def kmeans(t):
-    return G.kmeans_labels(core(t), FEATURES, 4)[0].select("customer_id", "cluster")
+    return clustered(t)[0].select("customer_id", "cluster")
 
 
 @query("kmeans_inertia")
 def kmeans_inertia(t):
     """The objective recomputed from the labels, next to the model's own."""
-    labelled, model = G.kmeans_labels(core(t), FEATURES, 4)
+    labelled, model, _ = clustered(t)
     return G.inertia(labelled, FEATURES, model.clusterCenters()).withColumn("model_inertia", F.lit(float(model.summary.trainingCost)))
 
 
 @query("ward_micro")
 def ward_micro(t):
-    return G.ward_labels(core(t), FEATURES, 4).select("customer_id", "ward")
+    rows = core(t)
+    return G.ward_labels(rows, FEATURES, chosen_k(rows, FEATURES)).select("customer_id", "ward")
 
 
 @query("cluster_agreement")
 def cluster_agreement(t):
-    rows, _ = G.kmeans_labels(core(t), FEATURES, 4)
-    return M.adjusted_rand(G.ward_labels(rows, FEATURES, 4), "cluster", "ward")
+    rows, _, k = clustered(t)
+    return M.adjusted_rand(G.ward_labels(rows, FEATURES, k), "cluster", "ward")
 
 
 @query("segments_vs_kmeans")
@@ -124,4 +138,5 @@ def segments_vs_kmeans(t):
     k = segmented(t).select("entity_id", "segment", c("market_l6m").cast("double").alias("volume"),
                             F.coalesce("own_share_l6m", F.lit(0.0)).alias("share"), F.coalesce("share_slope_pm", F.lit(0.0)).alias("slope"))
     rows = materialised(G.standardize(k, ["volume", "share", "slope"], ["volume"]))
-    return M.adjusted_rand(G.kmeans_labels(rows, ["volume", "share", "slope"], 4)[0], "segment", "cluster")
+    # Four clusters for the four rule segments; this K is not chosen.
+    return M.adjusted_rand(G.kmeans_labels(rows, ["volume", "share", "slope"], 4, RULE_STARTS)[0], "segment", "cluster")
