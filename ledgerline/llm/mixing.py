@@ -62,7 +62,8 @@ def cell_counts(classed: DataFrame) -> DataFrame:
 def shares(cells: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
     """Adds the target share of each cell's class per dimension, scaled to the classes that occur.
 
-    A dimension without targets keeps its shares of tokens.  REST gets what its own target says, or else what the others leave of 1.
+    A dimension without targets keeps its shares of tokens.  REST gets what its own target says, or else what the others leave of 1;
+    if they leave nothing, it keeps its own share of tokens and the others share what is left by their targets.
     """
     total = Window.partitionBy(F.lit(1))
     whole = F.sum("tokens").over(total)
@@ -82,7 +83,11 @@ def shares(cells: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
         each = F.col(f"goal_{name}") / F.count(F.lit(1)).over(Window.partitionBy(f"_{name}"))
         out = out.withColumn(f"_part_{name}", each)
     for name in DIMENSIONS:
-        out = out.withColumn(f"goal_{name}", F.col(f"goal_{name}") / F.sum(f"_part_{name}").over(total))
+        goal = F.try_divide(F.col(f"goal_{name}"), F.sum(f"_part_{name}").over(total))
+        if targets.get(name) and REST not in targets[name] and sum(targets[name].values()) > 1.0 - 1e-9:
+            rest = F.coalesce(F.sum(F.when(F.col(f"_{name}") == REST, F.col("tokens"))).over(total), F.lit(0)) / whole
+            goal = F.when(F.col(f"_{name}") == REST, rest).otherwise(goal * (1.0 - rest))
+        out = out.withColumn(f"goal_{name}", goal)
     return out.drop(*[f"_part_{d}" for d in DIMENSIONS])
 
 
