@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from feed_rows import GOOD
 from ledgerline.functions.dates import CENSUS_SHAPES
 from ledgerline.operators import clean as C
 from ledgerline.operators import joins as J
@@ -9,7 +10,6 @@ from ledgerline.operators import ledger as L
 from ledgerline.operators import profile as P
 from ledgerline.sources.feeds import FEED_COLUMNS
 from ledgerline.sources.lineage import frame_fingerprint
-from test_quality import GOOD
 
 
 def test_values_that_pass_a_rule_never_fail_the_clean_fact(spark):
