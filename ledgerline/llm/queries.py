@@ -209,3 +209,26 @@ def op8(t: SourceRegistry) -> DataFrame:
     from .mixing import mix
 
     return mix(t.documents, MIX).select("doc_id", "source", "lang", "weight", "probability", "copies")
+
+
+# Keys as text instead of hashes, and lines counted in windows of documents.
+OP13_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+line AS (SELECT rid, doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM doc),
+keyed AS (SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM line),
+own AS (SELECT k, min(doc_id) AS owner, count(DISTINCT doc_id) AS n FROM keyed WHERE length(k) >= 10 GROUP BY k),
+mark AS (SELECT rid, line, pos, n IS NOT NULL AND n >= 2 AND doc_id <> owner AS gone FROM keyed LEFT JOIN own USING (k))
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256
+FROM doc JOIN (SELECT rid, count(*) FILTER (gone) AS n_dropped,
+                      coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM mark GROUP BY rid) USING (rid)
+"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13(t: SourceRegistry) -> DataFrame:
+    """Lines that repeat across documents, dropped from all but the first."""
+    from .line_dedup import dedup_lines
+
+    kept = dedup_lines(t.documents.select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
