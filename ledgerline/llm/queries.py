@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from ..session import stored
 from ..sources.tables import SourceRegistry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +233,48 @@ def op13(t: SourceRegistry) -> DataFrame:
 
     kept = dedup_lines(t.documents.select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: per byte one exclusive or and eight shifts (reversed polynomial 0xEDB88320)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda s: [ascii(s), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    shift = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    whole = f"list_concat([4294967295], list_transform({steps}, lambda x: CAST(x AS BIGINT)))"
+    return f"xor(list_reduce({whole}, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE {shift} END), 4294967295)"
+
+
+# The trie by grouping written-out prefixes, and figures of subtrees by joining every node with the nodes below it.
+OP11_SQL = f"""
+WITH own AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS w FROM conversations GROUP BY conv_id),
+cut AS (SELECT c, w, {crc32_sql("CAST(c AS VARCHAR)")} % 6 AS h FROM own),
+seq AS (SELECT cut.c, list_concat(coalesce(base.w[1:h], []), cut.w[h + 1:]) AS w FROM cut LEFT JOIN own base ON base.c = cut.c - cut.c % 100),
+member AS (SELECT c, len(w) AS n, d, w[1:d] AS p FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM seq)),
+node AS (SELECT row_number() OVER () AS id, d, p, min(c) AS conv_id, count(*) AS n_convs, coalesce(length(p[d]['t']), 0) AS chars,
+  coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '') AS ends FROM member GROUP BY d, p),
+kid AS (SELECT d, p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+tree AS (SELECT node.*, coalesce(kid.n, 0) AS n_children, up.conv_id AS parent FROM node
+  LEFT JOIN kid ON kid.d = node.d + 1 AND kid.p = node.p LEFT JOIN node up ON up.d = node.d - 1 AND up.p = node.p[1:node.d - 1]),
+below AS (SELECT a.id, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.chars) AS saved
+  FROM (SELECT id, n_children, n_convs, chars, p, unnest(range(0, d + 1)) AS up FROM tree) b JOIN tree a ON a.d = b.up AND a.p = b.p[1:b.up] GROUP BY a.id)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(d AS BIGINT) AS depth, CAST(parent AS BIGINT) AS parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs,
+  CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM tree JOIN below USING (id)
+"""
+
+
+def rebuilt(rows: DataFrame) -> DataFrame:
+    """(conv_id, turns) where each conversation opens with turns of the first one of its hundred."""
+    head = F.pmod(F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")), F.lit(6)).cast("int")
+    first = rows.filter(F.col("conv_id") % 100 == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("opening"))
+    both = rows.withColumn("base", F.col("conv_id") - F.col("conv_id") % 100).withColumn("h", head).join(first, "base", "left")
+    opening = F.coalesce(F.slice("opening", F.lit(1), F.col("h")), F.expr("slice(turns, 1, 0)"))
+    own = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return both.select("conv_id", F.concat(opening, own).alias("turns"))
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11(t: SourceRegistry) -> DataFrame:
+    """The trie of all conversations, rebuilt to share openings."""
+    from .prefix_trie import conversation_rows, trie_nodes
+
+    return trie_nodes(rebuilt(stored(conversation_rows(t.conversations), "own-turns")))
