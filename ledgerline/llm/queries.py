@@ -278,3 +278,73 @@ def op11(t: SourceRegistry) -> DataFrame:
     from .prefix_trie import conversation_rows, trie_nodes
 
     return trie_nodes(rebuilt(stored(conversation_rows(t.conversations), "own-turns")))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` with faults put in by a checksum of conversation and turn; dropped rows stay as not ``present``."""
+    part = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *part).cast("binary")) % 20
+    role, text = [F.coalesce(c, F.lit(" ")) for c in ("role", "text")]
+    hit = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.col("kind") != 0, F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return hit.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("present"))
+
+
+def op12_sql() -> str:
+    """The edits by a recursion from each conversation's end, with whole audits and repaired rows written out per state."""
+
+    def edit(letter: str, cost: str, onward: str, row: str | None) -> str:
+        onward = f"({onward})"
+        rest = f"list_prepend({row}, {onward}.t)" if row else f"{onward}.t"
+        return f"{{'c': {onward}.c + {cost}, 'a': '{letter}' || {onward}.a, 't': {rest}}}"
+
+    def best(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def consumed(here: str, wanted: str, role: str, kept: str) -> str:
+        rerole = edit("R", "3 + cut", wanted, f"'{role}:' || text")
+        options = f"[{edit('D', '4', here, None)}] || CASE WHEN gone THEN [] ELSE [{rerole}] END"
+        for sign, onward in (x.split(">") for x in kept.split()):
+            options += f" || CASE WHEN sign = '{sign}' AND NOT gone THEN [{edit('K', 'cut', onward, 'line')}] ELSE [] END"
+        return f"list_sort({options})[1]"
+
+    user, assistant = "'user:'", "'assistant:'"
+    closed = (
+        best("x0", edit("I", "3", "x2", user), edit("I", "3", edit("I", "3", "x3", assistant), user)),
+        best("x1", edit("I", "3", "x2", user), edit("I", "3", edit("I", "3", "x3", assistant), user)),
+        best("x2", edit("I", "3", "x3", assistant)),
+        best("x3", edit("I", "3", "x2", user)),
+    )
+    end = "{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}"
+    last = [end, edit("I", "3", edit("I", "3", end, assistant), user), edit("I", "3", end, assistant), end]
+    crc = crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")
+    return f"""
+WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS k FROM conversations),
+hit AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE k WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM src),
+spot AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hit),
+fault AS (SELECT *, substr(role, 1, 1) AS sign, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM spot),
+mark AS (SELECT *, blank OR again AS gone, role || ':' || text AS line, lag(sign) OVER (PARTITION BY conv_id ORDER BY i) || sign AS pair,
+  CASE WHEN NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS cut FROM fault),
+size AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+  count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut > 0) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM mark GROUP BY conv_id),
+walk AS (SELECT conv_id, n AS i, {last[0]} AS v0, {last[1]} AS v1, {last[2]} AS v2, {last[3]} AS v3 FROM size
+  UNION ALL SELECT conv_id, i, {closed[0]} AS v0, {closed[1]} AS v1, {closed[2]} AS v2, {closed[3]} AS v3 FROM
+    (SELECT walk.conv_id, walk.i - 1 AS i, {consumed("v0", "v2", "user", "s>v1 u>v2")} AS x0, {consumed("v1", "v2", "user", "u>v2")} AS x1,
+            {consumed("v2", "v3", "assistant", "a>v3")} AS x2, {consumed("v3", "v2", "user", "u>v2")} AS x3 FROM walk JOIN mark USING (conv_id, i)))
+SELECT CAST(c.conv_id AS BIGINT) AS conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+  CAST(coalesce(v0.c, 0) AS BIGINT) AS cost, coalesce(v0.a, '') AS audit, sha256(coalesce(array_to_string(v0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN size USING (conv_id) LEFT JOIN (SELECT * FROM walk WHERE i = 0) USING (conv_id)
+"""
+
+
+@query("op12_conversation_repair", op12_sql())
+def op12(t: SourceRegistry) -> DataFrame:
+    """Faults of all damaged conversations and the cheapest repair of each."""
+    from .chat_repair import repair_report
+
+    return repair_report(damaged(t.conversations))
