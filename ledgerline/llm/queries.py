@@ -328,7 +328,7 @@ spot AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS F
 fault AS (SELECT *, substr(role, 1, 1) AS sign, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM spot),
 mark AS (SELECT *, blank OR again AS gone, role || ':' || text AS line, lag(sign) OVER (PARTITION BY conv_id ORDER BY i) || sign AS pair,
-  CASE WHEN NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS cut FROM fault),
+  CASE WHEN NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 3 ELSE 0 END AS cut FROM fault),
 size AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
   count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut > 0) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM mark GROUP BY conv_id),
 walk AS (SELECT conv_id, n AS i, {last[0]} AS v0, {last[1]} AS v1, {last[2]} AS v2, {last[3]} AS v3 FROM size
