@@ -6,14 +6,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .kmeans import Model, Rows, best_of, fit_many, judged, labelled
 from .ordered import exact_quantiles
 
 
@@ -159,12 +158,6 @@ def pca_project(df: DataFrame, features: list[str], k: int = 2) -> DataFrame:
     return out.join(F.broadcast(centre)).select(*df.columns, *[(parts[i] - F.col(f"_c{i}")).alias(f"pc{i + 1}") for i in range(k)])
 
 
-def best_kmeans(df: DataFrame, k: int, starts: int = 5, seed: int = 42) -> KMeansModel:
-    """K-means from several seeds, the one with the lowest cost; expects a ``features`` column."""
-    models = [KMeans(k=k, seed=seed + s, maxIter=50, tol=1e-4, initSteps=2).fit(df) for s in range(starts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
 def inertia(labelled: DataFrame, features: list[str], centers: list[np.ndarray], label: str = "cluster") -> DataFrame:
     """Sum of squared distances to the own centre, recomputed as an aggregate; centres are k short rows."""
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(centers)]
@@ -177,25 +170,24 @@ def inertia(labelled: DataFrame, features: list[str], centers: list[np.ndarray],
 
 
 def choose_k(df: DataFrame, features: list[str], ks: range = range(2, 9), starts: int = 2, seed: int = 42) -> DataFrame:
-    """``k, silhouette, inertia, chosen``; the silhouette uses squared distances, as MLlib computes it without pairs."""
-    rows = assemble(df, features).select("features").persist()
-    found = []
-    for k in ks:
-        model = best_kmeans(rows, k, starts, seed)
-        s = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(model.transform(rows))
-        found.append((k, float(s), float(model.summary.trainingCost)))
-    rows.unpersist()
+    """``k, silhouette, inertia, chosen``: the best of all starts per K; the silhouette uses squared distances.
+
+    All starts of all K advance together, so this takes as many passes as the slowest one (see ``kmeans``).
+    """
+    rows = Rows(df, features)
+    models = fit_many(rows, [(k, seed + s) for k in ks for s in range(starts)])
+    stats = judged(rows, models)
+    best = [min((i for i, m in enumerate(models) if m.k == k), key=lambda i: models[i].cost) for k in ks]
+    scores = rows.silhouettes([stats[i] for i in best])
+    found = [(models[i].k, float(s), models[i].cost) for i, s in zip(best, scores, strict=True)]
     top = max(found, key=lambda r: (r[1], -r[0]))[0]
     return df.sparkSession.createDataFrame([(*r, r[0] == top) for r in found], "k int, silhouette double, inertia double, chosen boolean")
 
 
-def kmeans_labels(df: DataFrame, features: list[str], k: int, starts: int = 5, seed: int = 42) -> tuple[DataFrame, KMeansModel]:
-    """Adds ``cluster``."""
-    rows = assemble(df, features)
-    train = rows.select("features").persist()
-    model = best_kmeans(train, k, starts, seed)
-    train.unpersist()
-    return model.transform(rows).withColumnRenamed("prediction", "cluster").drop("features"), model
+def kmeans_labels(df: DataFrame, features: list[str], k: int, starts: int = 5, seed: int = 42) -> tuple[DataFrame, Model]:
+    """Adds ``cluster``, by the best of ``starts`` models that advance together."""
+    model = best_of(df, features, k, starts, seed)
+    return labelled(df, features, model.centers, "cluster"), model
 
 
 def ward_merge(centers: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
@@ -223,13 +215,10 @@ def ward_labels(df: DataFrame, features: list[str], k: int, micro: int = 150, se
 
     K-means reduces the rows to at most ``micro`` weighted centres; only those are merged.
     """
-    rows = assemble(df, features)
-    model = KMeans(k=micro, seed=seed, maxIter=20).fit(rows.select("features"))
-    centers = np.array(model.clusterCenters())
-    sizes = np.maximum(np.array(model.summary.clusterSizes), 1)
-    merged = ward_merge(centers, sizes, min(k, len(centers)))
-    table = df.sparkSession.createDataFrame([(i, int(m)) for i, m in enumerate(merged)], "prediction int, ward int")
-    return model.transform(rows).join(F.broadcast(table), "prediction").drop("prediction", "features")
+    model = best_of(df, features, micro, 1, seed, sweeps=20)
+    merged = ward_merge(model.centers, np.maximum(model.sizes, 1), min(k, len(model.centers)))
+    table = df.sparkSession.createDataFrame([(i, int(m)) for i, m in enumerate(merged)], "_micro int, ward int")
+    return labelled(df, features, model.centers, "_micro").join(F.broadcast(table), "_micro", "left").drop("_micro")
 
 
 def personas(df: DataFrame, segment: str, features: list[str], revenue: str) -> DataFrame:

@@ -99,7 +99,7 @@ def test_planted_clusters_and_anomalies_are_found(spark):
     assert chosen == [4]
     labelled, model = G.kmeans_labels(core, f, 4, 2)
     assert M.adjusted_rand(labelled, "truth", "cluster").first()[0] > 0.97
-    assert G.inertia(labelled, f, model.clusterCenters()).first()[0] == pytest.approx(model.summary.trainingCost, rel=1e-6)
+    assert G.inertia(labelled, f, list(model.centers)).first()[0] == pytest.approx(model.cost, rel=1e-6)
     ward = G.ward_labels(labelled, f, 4, micro=40)
     assert M.adjusted_rand(ward, "cluster", "ward").first()[0] > 0.95
     x = np.array(core.select(*f).collect())
