@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import preview
-from .ordered import bucket_of, range_bounds, running_totals
+from ..session import materialised
+from .ordered import bucket_of, running_totals
 
 
 def score_counts(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -18,10 +19,10 @@ def score_counts(scored: DataFrame, label: str = "label", score: str = "score")
 
 def cumulative_table(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """``score, pos, neg, tp, fp, all_pos, all_neg``: counts at threshold ``score`` (predict 1 at or above it)."""
-    counts = score_counts(scored, label, score)
-    bounds = range_bounds(scored.select(F.col(score).alias("score")), "score")
-    ranked = running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, descending=True, bounds=bounds)
-    totals = scored.agg(F.count_if(F.col(label) == 1).alias("all_pos"), F.count_if(F.col(label) == 0).alias("all_neg"))
+    # Read once per step of the search, so counted once and written.
+    counts = materialised(score_counts(scored, label, score))
+    ranked = running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, descending=True)
+    totals = counts.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     return ranked.join(F.broadcast(totals))
 
 

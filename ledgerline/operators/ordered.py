@@ -1,32 +1,51 @@
-"""Ordered work without a single-task sort: range buckets, running totals, exact ranks and quantiles.
+"""Ordered work without a single-task sort: radix cells, running totals, exact ranks and quantiles.
 
-A global window would send every row to one task.  Here the values are cut
-into range buckets, bucket totals (a few hundred rows) give the offset of each
-bucket, and only the inside of a bucket is sorted.
+A global window would send every row to one task.  Here values become integers in the same order (``coded``), whose
+high bits cut them into cells.  Cells are only counted; counts give the offset of each, and a cell is cut further, twelve
+bits at a time, until a task can sort what is in it or all its values are equal.  All groups are refined together.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import ensure_checkpoints, shuffle_width
+from ..session import ensure_checkpoints, materialised, shuffle_width
 
+#: How far a code is shifted to give its cell, step by step: sixteen bits first, then twelve more at a time.
+SHIFTS = (48, 36, 24, 12, 0)
+#: Rows of one cell that a task may sort.
+FIT = 1 << 16
+#: Lists of cells up to this length are sent to the rows; longer ones are shuffled, but for cells with many rows.
+SENT_CELLS, HOT = 1 << 16, 1000
 
 
-def range_bounds(df: DataFrame, value: str, parts: int | None = None) -> list[float]:
-    """At most ``parts - 1`` cut points that split the values evenly; the only thing collected."""
-    parts = parts or shuffle_width(df.sparkSession)
-    if parts < 2:
-        return []
-    cuts = df.select(F.col(value).cast("double").alias("v")).approxQuantile(
-        "v", [i / parts for i in range(1, parts)], 0.25 / parts
-    )
-    return sorted(set(cuts))
+def coded(df: DataFrame, value: str, name: str = "_code") -> DataFrame:
+    """Adds a 64-bit integer that sorts as ``value`` does: integers are their own, doubles get sign, exponent and fraction.
+
+    The bits of a double are found by arithmetic that is exact: scaling by powers of two.  NaN comes last, NULL stays.
+    """
+    kind = df.schema[value].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return df.withColumn(name, F.col(value).cast("long"))
+    two = F.lit(2.0)
+    tiny = F.lit(2.0**-1022)
+    out = df.withColumn("_x", F.col(value).cast("double")).withColumn("_a", F.abs("_x"))
+    # A logarithm may be off by one at a power of two; the fraction tells.
+    plain = (F.col("_a") >= tiny) & (F.col("_a") < F.lit(float("inf")))
+    out = out.withColumn("_e", F.when(plain, F.greatest(F.floor(F.log2("_a")), F.lit(-1022)))).withColumn("_f", F.col("_a") / F.pow(two, F.col("_e").cast("double")))
+    out = out.withColumn("_e", F.when(F.col("_f") >= 2, F.col("_e") + 1).when(F.col("_f") < 1, F.col("_e") - 1).otherwise(F.col("_e")))
+    out = out.withColumn("_f", F.col("_a") / F.pow(two, F.col("_e").cast("double")))
+    normal = F.shiftleft(F.col("_e") + 1023, 52) + ((F.col("_f") - 1) * F.lit(2.0**52)).cast("long")
+    subnormal = (F.least("_a", tiny) * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    size = F.when(F.col("_x").isNull(), F.lit(None).cast("long")).when(F.isnan("_x"), F.lit((2047 << 52) + 1)).when(F.col("_a") == F.lit(float("inf")), F.lit(2047 << 52))
+    size = size.when(F.col("_a") >= tiny, normal).otherwise(subnormal)
+    return out.withColumn(name, F.when(F.col("_x") < 0, -size).otherwise(size)).drop("_x", "_a", "_e", "_f")
 
 
 def bucket_of(value: str | Column, bounds: list[float]) -> Column:
-    """Index of the range bucket: how many bounds lie below the value (binary search as nested CASE)."""
+    """Index of the interval: how many of a few fixed bounds lie below the value (binary search as nested CASE)."""
     c = F.col(value) if isinstance(value, str) else value
 
     def search(low: int, high: int) -> Column:
@@ -38,55 +57,76 @@ def bucket_of(value: str | Column, bounds: list[float]) -> Column:
     return search(0, len(bounds))
 
 
-def running_totals(
-    df: DataFrame, value: str, sums: dict[str, str], by: list[str] | None = None, descending: bool = False,
-    bounds: list[float] | None = None,
-) -> DataFrame:
+def in_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """``rows`` that lie in ``cells`` (_key, _cell, _c rows each, more columns), with those columns.
+
+    A short list of cells goes to the rows.  Of a long one, only cells with more than one row in ``HOT`` do, which are at
+    most ``HOT``; the others can't pile up and are shuffled.
+    """
+    if cells.count() <= SENT_CELLS:
+        return rows.join(F.broadcast(cells), ["_key", "_cell"])
+    total = cells.agg(F.sum("_c").alias("n")).first()["n"]
+    hot = F.col("_c") * HOT > total
+    few = F.broadcast(cells.filter(hot))
+    rest = rows.join(few.select("_key", "_cell"), ["_key", "_cell"], "left_anti").join(cells.filter(~hot), ["_key", "_cell"])
+    return rest.unionByName(rows.join(few, ["_key", "_cell"]))
+
+
+def with_quantiles(df: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """One row per group beside its quantiles; NULL meets NULL, and without groups one row meets one row."""
+    other = found.select(*[F.col(c) if c not in by else F.col(c).alias(f"_own_{c}") for c in found.columns])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+    joined = df.join(other, same, "left") if by else df.join(F.broadcast(other))
+    return joined.drop(*[f"_own_{c}" for c in by])
+
+
+def group_key(by: list[str]) -> Column:
+    """Groups as one value, so that NULL is a group like any other."""
+    return (F.struct(*[F.col(c) for c in by]) if by else F.lit(0)).alias("_key")
+
+
+def running_totals(df: DataFrame, value: str, sums: dict[str, str], by: list[str] | None = None, descending: bool = False) -> DataFrame:
     """Inclusive running totals of columns in the order of ``value``.
 
     ``sums`` maps output name to summed column.  ``value`` must be distinct per
     ``by`` group, so aggregate ties first.  Adds one column per entry.
     """
-    by = by or []
-    bounds = range_bounds(df, value) if bounds is None else bounds
-    tagged = df.withColumn("_b", bucket_of(F.col(value).cast("double"), bounds))
-    order = F.col("_b").desc() if descending else F.col("_b").asc()
-    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = tagged.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
-    offsets = totals.select(
-        *by, "_b", *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums]
-    )
-    inner = F.col(value).desc() if descending else F.col(value).asc()
-    local = Window.partitionBy(*by, "_b").orderBy(inner).rowsBetween(Window.unboundedPreceding, 0)
-    inside = tagged
-    for o, c in sums.items():
-        inside = inside.withColumn(o, F.sum(c).over(local))
-    # Ungrouped, the offsets are one row per bucket; grouped, AQE picks the join by their real size.
-    joined = inside.join(offsets if by else F.broadcast(offsets), by + ["_b"])
-    for o in sums:
-        joined = joined.withColumn(o, F.col(o) + F.col(f"_o_{o}"))
-    return joined.drop("_b", *[f"_o_{o}" for o in sums])
+    names, columns = list(sums), df.columns
+    rows = coded(df, value)
+    if descending:
+        rows = rows.withColumn("_code", F.bitwise_not("_code"))
+    rows = rows.select("*", group_key(by or []), F.lit(0).cast("long").alias("_cell"), *[F.lit(0).alias(f"_o_{o}") for o in names])
+    done = None
+    for shift in SHIFTS:
+        rows = rows.withColumnRenamed("_cell", "_cell_above").withColumn("_cell", F.shiftright("_code", shift))
+        counts = rows.groupBy("_key", "_cell_above", "_cell").agg(
+            F.count(F.lit(1)).alias("_c"), *[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()], *[F.max(f"_o_{o}").alias(f"_o_{o}") for o in names])
+        # At most 2^16 counts per group, then 2^12 per cell that is cut.
+        before = Window.partitionBy("_key", "_cell_above").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = [(F.col(f"_o_{o}") + F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0))).alias(f"_o_{o}") for o in names]
+        cells = materialised(counts.select("_key", "_cell", "_c", *offsets))
+        plain = rows.drop("_cell_above", *[f"_o_{o}" for o in names])
+        large = cells.filter(F.col("_c") > FIT) if shift else cells.limit(0)
+        last = not shift or large.isEmpty()
+        part = in_cells(plain, cells if last else cells.filter(F.col("_c") <= FIT)).withColumn("_step", F.lit(shift))
+        done = part if done is None else done.unionByName(part)
+        if last:
+            break
+        rows = in_cells(plain, large).drop("_c")
+    inside = Window.partitionBy("_step", "_key", "_cell").orderBy("_code").rowsBetween(Window.unboundedPreceding, 0)
+    return done.select(*[F.col(f"`{c}`") for c in columns], *[(F.col(f"_o_{o}") + F.sum(c).over(inside)).alias(o) for o, c in sums.items()])
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles per group, one column per entry of ``quantiles``.
+    """Exact linear-interpolated quantiles per group, one column per entry of ``quantiles``; NULL is a group, too.
 
-    Pass 1 counts rows per range bucket, pass 2 looks only inside the buckets
-    that hold a wanted rank; rows with equal values are pre-counted, so neither
-    a hot group nor a hot value piles up in one task.
+    Cells are counted, those that hold no wanted rank are dropped before anything else is looked at, and the rest is
+    cut further while it is too large to be sorted by a task.  Equal values are counted before they meet.
     """
     by = by or []
-    src = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    bounds = range_bounds(src, "_v")
-    # Global aggregates and joins need a key; a constant one stands in for "no group".
-    keys = by or ["_all"]
-    tagged = src.withColumn("_b", bucket_of("_v", bounds))
-    if not by:
-        tagged = tagged.withColumn("_all", F.lit(0))
-    whole = Window.partitionBy(*keys)
-    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = tagged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    hist = hist.withColumn("_n", F.sum("_c").over(whole)).withColumn("_lo", F.sum("_c").over(upto) - F.col("_c"))
+    rows = coded(df.select(group_key(by), F.col(value).cast("double").alias("_v")).filter("_v is not null"), "_v")
 
     def low_rank(p: float) -> Column:
         return F.floor(F.lit(p) * (F.col("_n") - 1) + F.lit(1e-9))
@@ -95,56 +135,67 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by:
         return (rank >= F.col(lo)) & (rank < F.col(lo) + F.col(count))
 
     wanted = F.lit(False)
-    for p in quantiles.values():
-        wanted = wanted | holds(low_rank(p), "_lo", "_c") | holds(
-            F.least(low_rank(p) + 1, F.col("_n") - 1), "_lo", "_c"
-        )
-    cells = hist.filter(wanted).select(*keys, "_b", "_n", "_lo")
-    if by:
-        values = tagged.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_m")).join(cells, keys + ["_b"])
-    else:
-        # At most two cells per quantile: rows elsewhere are dropped before anything is shuffled.
-        near = tagged.join(F.broadcast(cells), keys + ["_b"])
-        values = near.groupBy(*keys, "_b", "_v", "_n", "_lo").agg(F.count(F.lit(1)).alias("_m"))
-    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    for p in set(quantiles.values()):
+        wanted = wanted | holds(low_rank(p), "_lo", "_c") | holds(F.least(low_rank(p) + 1, F.col("_n") - 1), "_lo", "_c")
+    near, above = rows.withColumn("_cell", F.lit(0).cast("long")), None
+    values = None
+    for shift in SHIFTS:
+        near = near.withColumnRenamed("_cell", "_cell_above").withColumn("_cell", F.shiftright("_code", shift))
+        kept = [F.max(c).alias(c) for c in ("_n", "_lo")] if above is not None else []
+        counts = near.groupBy("_key", "_cell_above", "_cell").agg(F.count(F.lit(1)).alias("_c"), *kept)
+        group = Window.partitionBy("_key", "_cell_above")
+        before = F.sum("_c").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+        if above is None:
+            counts = counts.withColumn("_n", F.sum("_c").over(group)).withColumn("_lo", before)
+        else:
+            counts = counts.withColumn("_lo", F.col("_lo") + before)
+        above = materialised(counts.filter(wanted).select("_key", "_cell", "_c", "_n", "_lo"))
+        plain = near.select("_key", "_v", "_code", "_cell")
+        large = above.filter(F.col("_c") > FIT) if shift else above.limit(0)
+        last = not shift or large.isEmpty()
+        held = in_cells(plain, above if last else above.filter(F.col("_c") <= FIT))
+        held = held.groupBy("_key", "_cell", "_v", "_code", "_n", "_lo").agg(F.count(F.lit(1)).alias("_m")).withColumn("_step", F.lit(shift))
+        values = held if values is None else values.unionByName(held)
+        if last:
+            break
+        near = in_cells(plain, large).drop("_c")
+    inside = Window.partitionBy("_step", "_key", "_cell").orderBy("_code").rowsBetween(Window.unboundedPreceding, 0)
     values = values.withColumn("_first", F.col("_lo") + F.sum("_m").over(inside) - F.col("_m"))
     picks = []
     for name, p in quantiles.items():
         low, high = low_rank(p), F.least(low_rank(p) + 1, F.col("_n") - 1)
         picks.append(F.max(F.when(holds(low, "_first", "_m"), F.col("_v"))).alias(f"_l_{name}"))
         picks.append(F.max(F.when(holds(high, "_first", "_m"), F.col("_v"))).alias(f"_h_{name}"))
-    found = values.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
+    found = values.groupBy("_key").agg(F.max("_n").alias("_n"), *picks)
     out = []
     for name, p in quantiles.items():
         weight = F.lit(p) * (F.col("_n") - 1) - low_rank(p)
-        out.append(
-            (F.col(f"_l_{name}") + weight * (F.col(f"_h_{name}") - F.col(f"_l_{name}"))).alias(name)
-        )
-    return found.select(*by, *out)
+        out.append((F.col(f"_l_{name}") + weight * (F.col(f"_h_{name}") - F.col(f"_l_{name}"))).alias(name))
+    return found.select(*[F.col("_key").getField(c).alias(c) for c in by], *out)
 
 
 def kth_largest(df: DataFrame, value: str, k: int) -> float | None:
-    """The k-th largest value (1-based) as a number; NULL-free input, one row collected."""
-    bounds = range_bounds(df, value)
-    tagged = df.select(F.col(value).cast("double").alias("_v")).withColumn("_b", bucket_of("_v", bounds))
-    hist = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    cell = (
-        hist.withColumn("_above", F.coalesce(F.sum("_c").over(above), F.lit(0)))
-        .filter((F.col("_above") < k) & (F.col("_above") + F.col("_c") >= k))
-        .first()
-    )
-    if cell is None:
-        return None
-    inside = tagged.filter(F.col("_b") == cell["_b"]).groupBy("_v").agg(F.count(F.lit(1)).alias("_m"))
-    local = Window.orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    hit = (
-        inside.withColumn("_upto", F.sum("_m").over(local) + F.lit(cell["_above"]))
-        .filter(F.col("_upto") >= k)
-        .agg(F.max("_v").alias("v"))
-        .first()
-    )
-    return hit["v"]
+    """The k-th largest value (1-based) as a number; NULL-free input.
+
+    The driver gets counts of cells, at most 2^16 in the first step and 2^12 later, or the values of one cell of ``FIT`` rows.
+    """
+    rows, left = coded(df.select(F.col(value).cast("double").alias("_v")), "_v"), k
+    for shift in SHIFTS:
+        cells = rows.groupBy(F.shiftright("_code", shift).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("low"), F.max("_v").alias("high")).collect()
+        hit = None
+        for cell in sorted(cells, key=lambda r: -r["_cell"]):
+            if left <= cell["_c"]:
+                hit = cell
+                break
+            left -= cell["_c"]
+        if hit is None:
+            return None
+        if hit["low"] == hit["high"]:
+            return hit["high"]
+        rows = rows.filter(F.shiftright("_code", shift) == F.lit(hit["_cell"]))
+        if hit["_c"] <= FIT:
+            return sorted((r["_v"] for r in rows.select("_v").collect()), reverse=True)[left - 1]
+    return hit["high"]
 
 
 def global_number(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:

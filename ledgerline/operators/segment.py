@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .kmeans import Model, Rows, best_of, fit_many, judged, labelled
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, with_quantiles
 
 
 def rfm_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -228,9 +228,11 @@ def personas(df: DataFrame, segment: str, features: list[str], revenue: str) ->
     customers is fine; the windows run over one row per segment.
     """
     base = df.groupBy(segment).agg(F.count(F.lit(1)).alias("size"), F.sum(revenue).alias("_rev"))
-    out = base
-    for f in features:
-        out = out.join(exact_quantiles(df, f, {f"{f}_median": 0.5}, [segment]), segment)
+    # All features in one search: each is a group beside the segment.
+    long = df.select(segment, F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])))
+    medians = exact_quantiles(long, "value", {"median": 0.5}, [segment, "feature"])
+    wide = medians.groupBy(segment).pivot("feature", features).agg(F.first("median"))
+    out = with_quantiles(base, wide.select(segment, *[F.col(f).alias(f"{f}_median") for f in features]), [segment])
     whole = Window.partitionBy()
     share = (100 * F.col("_rev") / F.sum("_rev").over(whole)).alias("revenue_share")
     z = [F.try_divide(F.col(f"{f}_median") - F.avg(f"{f}_median").over(whole), F.stddev_samp(f"{f}_median").over(whole)).alias(f"{f}_z") for f in features]

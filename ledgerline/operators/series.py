@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.tails import chi2_sf
+from .ordered import exact_quantiles, with_quantiles
 
 
 def _over(series: str, time: str):
@@ -81,17 +82,17 @@ def moments(df: DataFrame, by: list[str], value: str) -> DataFrame:
     corrections need at least 3 and 4 values, and a spread.
     """
     x = F.col(value)
-    g = df.filter(x.isNotNull()).groupBy(*by).agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"), F.max(x).alias("max"),
+    rows = df.filter(x.isNotNull())
+    g = rows.groupBy(*by).agg(
+        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
         F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"),
     )
+    g = with_quantiles(g, exact_quantiles(rows, value, {"p25": 0.25, "median": 0.5, "p75": 0.75}, by), by)
     n = F.col("n").cast("double")
     skew = F.when((n > 2) & (F.col("std") > 0), F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when((n > 3) & (F.col("std") > 0), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
     return g.select(
-        *by, "n", "mean", "std", "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("p75"), "max", skew.alias("skew"), kurt.alias("kurtosis"),
+        *by, "n", "mean", "std", "min", "p25", "median", "p75", "max", skew.alias("skew"), kurt.alias("kurtosis"),
     )
 
 
@@ -134,24 +135,20 @@ def mean_band(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def box_summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Quartiles, whiskers (last values within 1.5 IQR of the box) and outlier count per group.
-
-    For calendar-grain values; the exact percentile then holds one value per period.
-    """
+    """Quartiles, whiskers (last values within 1.5 IQR of the box) and outlier count per group.  Rows without a group or value are left out."""
     x = F.col(value)
     rows = df.filter(x.isNotNull())
     for b in by:
         rows = rows.filter(F.col(b).isNotNull())
-    q = rows.groupBy(*by).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    joined = rows.join(q, by)
-    iqr = F.col("_q")[2] - F.col("_q")[0]
-    low, high = F.col("_q")[0] - 1.5 * iqr, F.col("_q")[2] + 1.5 * iqr
-    inside = (x >= low) & (x <= high)
-    return joined.groupBy(*by).agg(
-        F.count(x).alias("n"), F.any_value("_q").alias("_q"), F.min(F.when(inside, x)).alias("whisker_low"),
-        F.max(F.when(inside, x)).alias("whisker_high"), F.count_if(~inside).alias("outliers"),
-    ).select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
-             "whisker_low", "whisker_high", "outliers")
+    box = exact_quantiles(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    # Equal values are counted first, so a hot group reaches the join as its distinct values per task.
+    counts = rows.groupBy(*by, x.alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+    iqr = F.col("q3") - F.col("q1")
+    inside = (F.col("_x") >= F.col("q1") - 1.5 * iqr) & (F.col("_x") <= F.col("q3") + 1.5 * iqr)
+    return counts.join(box, by).groupBy(*by, "q1", "median", "q3").agg(
+        F.sum("_m").alias("n"), F.min(F.when(inside, F.col("_x"))).alias("whisker_low"), F.max(F.when(inside, F.col("_x"))).alias("whisker_high"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_m"))).alias("outliers"),
+    ).select(*by, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 120) -> DataFrame:

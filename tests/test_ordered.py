@@ -49,6 +49,46 @@ def test_kth_largest(spark):
     assert O.kth_largest(df, "v", 4001) is None
 
 
+def test_codes_sort_as_doubles(spark):
+    rng = np.random.default_rng(8)
+    v = rng.integers(0, 2**63, 4000, dtype=np.int64).view("<f8")
+    powers = np.ldexp(1.0, np.arange(-1074, 1024))
+    v = np.concatenate([v[np.isfinite(v)], -powers, powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), [0.0, np.inf, -np.inf], rng.normal(size=500)])
+    got = [(r.v, r._code) for r in O.coded(spark.createDataFrame([(float(x),) for x in v], "v double"), "v").collect()]
+    want = sorted({abs(x) if x == 0 else x for x, _ in got})
+    codes = {abs(x) if x == 0 else x: code for x, code in got}
+    assert [codes[x] for x in want] == sorted(set(codes.values())) and len(set(codes.values())) == len(want)
+    for x, code in got:
+        if x >= 0:
+            assert code == int(np.float64(abs(x)).view("<i8"))
+    odd = O.coded(spark.createDataFrame([(float("nan"),), (float("inf"),), (None,), (-0.0,)], "v double"), "v").collect()
+    assert odd[0]._code > odd[1]._code and odd[2]._code is None and odd[3]._code == 0
+    big = [2**62, 2**62 + 1, -5]
+    assert [r._code for r in O.coded(spark.createDataFrame([(x,) for x in big], "v long"), "v").collect()] == big
+
+
+def test_cells_are_cut_until_they_fit(spark, monkeypatch):
+    """The same answers when a task may sort three rows, and when lists of cells are too long to be sent."""
+    rows, df = frame(spark, 900)
+    df = df.withColumn("g", F.when(F.col("g") == "big", F.col("g")))
+    monkeypatch.setattr(O, "FIT", 3)
+    v = np.array([r[2] for r in rows])
+    for sent in (O.SENT_CELLS, 0):
+        monkeypatch.setattr(O, "SENT_CELLS", sent)
+        got = {r.g: r.m for r in O.exact_quantiles(df, "v", {"m": 0.3}, ["g"]).collect()}
+        assert got == {None: pytest.approx(np.quantile([r[2] for r in rows if r[1] == "small"], 0.3)), "big": pytest.approx(np.quantile([r[2] for r in rows if r[1] == "big"], 0.3))}
+        upto = {r.v: r["upto"] for r in O.running_totals(df.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "v", {"upto": "n"}, descending=True).collect()}
+        assert all(upto[x] == (v >= x).sum() for x in upto)
+    assert [O.kth_largest(df, "v", k) for k in (1, 100, 450, 900)] == [np.sort(v)[::-1][k - 1] for k in (1, 100, 450, 900)]
+
+
+def test_no_window_over_all_rows(spark):
+    _, df = frame(spark, 50)
+    counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    for made in (O.exact_quantiles(df, "v", {"m": 0.5}), O.running_totals(counts, "v", {"upto": "n"})):
+        assert "SinglePartition" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_global_number(spark):
     df = spark.createDataFrame([(c, i % 7) for i, c in enumerate("qwertyuiopasdfghjklzxcvbnm")], "c string, k int").repartition(5)
     got = [r.c for r in O.global_number(df, ["k", "c"], "n").orderBy("n").collect()]
