@@ -73,10 +73,8 @@ def seasonal_naive(df: DataFrame, series: str, day: str, value: str, origins: li
 Forecaster = Callable[[np.ndarray, int], tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]
 
 
-def holt_linear(y: np.ndarray, steps: int, grid: int = 20):
-    """Linear trend smoothing; both weights from a grid, all grid points advanced together."""
-    levels, trends = np.meshgrid(np.linspace(0.02, 1.0, grid), np.linspace(0.0, 0.6, grid))
-    a, b = levels.ravel(), trends.ravel()
+def holt_paths(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Squared one-step misses, last level and last trend for many pairs of weights, advanced together."""
     level = np.full(a.shape, y[0])
     trend = np.full(a.shape, y[1] - y[0] if len(y) > 1 else 0.0)
     sse = np.zeros(a.shape)
@@ -86,8 +84,36 @@ def holt_linear(y: np.ndarray, steps: int, grid: int = 20):
         sse += miss * miss
         level = ahead + a * miss
         trend = trend + a * b * miss
-    best = int(np.argmin(sse))
-    return level[best] + trend[best] * np.arange(1, steps + 1), None, None
+    return sse, level, trend
+
+
+def holt_weights(y: np.ndarray, grid: int = 12, precision: float = 1e-4) -> tuple[float, float, float]:
+    """Weights in [0, 1] x [0, 1] with the least squared misses: the best of a grid, then a pattern search around it.
+
+    Every round tries the eight neighbours at the present step at once, moves to the best if it is better, and
+    halves the step otherwise; so the loss is never above the grid's.
+    """
+    levels, trends = np.meshgrid(np.linspace(0.0, 1.0, grid), np.linspace(0.0, 1.0, grid))
+    sse, _, _ = holt_paths(y, levels.ravel(), trends.ravel())
+    at = int(np.argmin(sse))
+    best, a, b, step = float(sse[at]), float(levels.ravel()[at]), float(trends.ravel()[at]), 1.0 / (grid - 1)
+    moves = np.array([(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j], dtype=float)
+    while step >= precision:
+        tried = np.clip(np.array([a, b]) + step * moves, 0.0, 1.0)
+        sse, _, _ = holt_paths(y, tried[:, 0], tried[:, 1])
+        at = int(np.argmin(sse))
+        if sse[at] < best:
+            best, a, b = float(sse[at]), float(tried[at, 0]), float(tried[at, 1])
+        else:
+            step /= 2
+    return a, b, best
+
+
+def holt_linear(y: np.ndarray, steps: int):
+    """Linear trend smoothing with both weights fitted to the one-step misses."""
+    a, b, _ = holt_weights(y)
+    _, level, trend = holt_paths(y, np.array([a]), np.array([b]))
+    return level[0] + trend[0] * np.arange(1, steps + 1), None, None
 
 
 def _harmonics(t: np.ndarray, k_max: int, period: float) -> np.ndarray:
@@ -123,7 +149,89 @@ def harmonic_ar(y: np.ndarray, steps: int, k_max: int = 3, period: float = 365.2
     return pred, pred - spread, pred + spread
 
 
-FORECASTERS: dict[str, Forecaster] = {"holt_trend_only": holt_linear, "harmonic_ar": harmonic_ar}
+def arma_shocks(r: np.ndarray, phi1: float, phi2: float, theta: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shocks of an ARMA(2, 1) given its first two values, and their derivatives by the three coefficients."""
+    n = len(r)
+    shock, slope = np.zeros(n), np.zeros((n, 3))
+    plain = r[2:] - phi1 * r[1:-1] - phi2 * r[:-2]
+    for t in range(2, n):
+        shock[t] = plain[t - 2] - theta * shock[t - 1]
+        slope[t, 0] = -r[t - 1] - theta * slope[t - 1, 0]
+        slope[t, 1] = -r[t - 2] - theta * slope[t - 1, 1]
+        slope[t, 2] = -shock[t - 1] - theta * slope[t - 1, 2]
+    return shock, slope
+
+
+def settled(phi1: float, phi2: float, theta: float) -> bool:
+    """Stationary and invertible."""
+    return abs(phi2) < 0.999 and phi1 + phi2 < 0.999 and phi2 - phi1 < 0.999 and abs(theta) < 0.999
+
+
+def fit_arma(r: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, np.ndarray, float]:
+    """(phi1, phi2, theta), shocks, shock variance of an ARMA(2, 1).
+
+    Two steps for a start: a long autoregression gives shocks, a regression on two values and one shock gives coefficients.
+    Then Gauss-Newton steps on the sum of squared shocks, halved until it falls and the model is stationary and invertible.
+    """
+    n = len(r)
+    long = min(max(4, int(10 * math.log10(n))), n // 4)
+    past = np.column_stack([r[long - i - 1 : n - i - 1] for i in range(long)])
+    weights, *_ = np.linalg.lstsq(past, r[long:], rcond=None)
+    rough = np.concatenate([np.zeros(long), r[long:] - past @ weights])
+    at = np.arange(long + 2, n)
+    start, *_ = np.linalg.lstsq(np.column_stack([r[at - 1], r[at - 2], rough[at - 1]]), r[at], rcond=None)
+    w = start if settled(*start) else np.zeros(3)
+    shock, slope = arma_shocks(r, *w)
+    loss = float(shock @ shock)
+    for _ in range(rounds):
+        move, *_ = np.linalg.lstsq(slope[2:], -shock[2:], rcond=None)
+        share, better = 1.0, None
+        while share > 1e-4 and better is None:
+            tried = w + share * move
+            if settled(*tried):
+                found = arma_shocks(r, *tried)
+                if float(found[0] @ found[0]) < loss:
+                    better = (tried, *found)
+            share /= 2
+        if better is None:
+            break
+        gain = loss - float(better[1] @ better[1])
+        w, shock, slope = better
+        loss -= gain
+        if gain <= 1e-10 * max(loss, 1e-300):
+            break
+    return w, shock, loss / max(1, n - 5)
+
+
+def harmonic_arma(y: np.ndarray, steps: int, k_max: int = 3, period: float = 365.25, z: float = Z80):
+    """Harmonic least squares with ARMA(2, 1) errors; intervals from the growing variance of the errors' forecast.
+
+    Series too short for the errors' model (under 40 values) have independent errors.
+    """
+    n = len(y)
+    design = _harmonics(np.arange(n), k_max, period)
+    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
+    resid = y - design @ beta
+    if n >= 40:
+        (phi1, phi2, theta), shock, sigma2 = fit_arma(resid)
+    else:
+        phi1 = phi2 = theta = 0.0
+        shock, sigma2 = resid, float(resid.var())
+    r1, r2, last = resid[-1], resid[-2] if n > 1 else 0.0, shock[-1]
+    psi1, psi2 = 1.0, 0.0
+    pred, spread, total = np.empty(steps), np.empty(steps), 0.0
+    seasonal = _harmonics(np.arange(n, n + steps), k_max, period) @ beta
+    for h in range(steps):
+        # The last shock is known for one step; later ones are expected to be 0.
+        r1, r2 = phi1 * r1 + phi2 * r2 + (theta * last if h == 0 else 0.0), r1
+        pred[h] = seasonal[h] + r1
+        total += psi1 * psi1
+        spread[h] = z * math.sqrt(sigma2 * total)
+        psi1, psi2 = phi1 * psi1 + phi2 * psi2 + (theta if h == 0 else 0.0), psi1
+    return pred, pred - spread, pred + spread
+
+
+FORECASTERS: dict[str, Forecaster] = {"holt_trend_only": holt_linear, "harmonic_ar": harmonic_ar, "harmonic_arma": harmonic_arma}
 
 
 def per_series(df: DataFrame, model: str, fn: Forecaster, series: str, day: str, value: str, origins: list[str],
@@ -131,7 +239,8 @@ def per_series(df: DataFrame, model: str, fn: Forecaster, series: str, day: str,
     """Run any forecaster on every (series, origin) pair in parallel.
 
     Each task gets the training part of one series, bounded by the calendar,
-    plus the horizon's actual values, which the forecaster never sees.
+    plus the horizon's actual values, which the forecaster never sees.  Every row that a baseline
+    forecasts is here as well: with one or two training values the last one is the forecast, with none it is NULL.
     """
     near = F.filter(_origin_array(origins), lambda o: F.date_diff(F.col(day), o) <= horizon)
     rows = df.filter(F.col(value).isNotNull()).select(series, day, F.col(value).cast("double").alias(value), F.explode(near).alias("origin"))
@@ -143,10 +252,13 @@ def per_series(df: DataFrame, model: str, fn: Forecaster, series: str, day: str,
         origin = pdf["origin"].iloc[0]
         is_train = pdf["day"] <= origin
         train, test = pdf[is_train], pdf[~is_train]
-        if len(train) < 3 or test.empty:
+        if test.empty:
             return pd.DataFrame(columns=["model", series, "origin", "h", "day", "actual", "pred", "lo", "hi"])
         h = np.array([(d - origin).days for d in test["day"]])
-        pred, lo, hi = fn(train["value"].to_numpy(float), int(h.max()))
+        if len(train) < 3:
+            pred, lo, hi = np.full(int(h.max()), train["value"].iloc[-1] if len(train) else np.nan), None, None
+        else:
+            pred, lo, hi = fn(train["value"].to_numpy(float), int(h.max()))
         nothing = np.full(len(h), np.nan)
         return pd.DataFrame({
             "model": model, series: test[series].to_numpy(), "origin": origin, "h": h, "day": test["day"].to_numpy(),
@@ -156,7 +268,8 @@ def per_series(df: DataFrame, model: str, fn: Forecaster, series: str, day: str,
 
     schema = f"model string, {series} {kind}, origin date, h int, day date, actual double, pred double, lo double, hi double"
     out = rows.groupBy(series, "origin").applyInPandas(run, schema)
-    return out.select("model", series, "origin", "h", F.col("day").alias(day), "actual", "pred",
+    none = F.lit(None).cast("double")
+    return out.select("model", series, "origin", "h", F.col("day").alias(day), "actual", F.nanvl("pred", none).alias("pred"),
                       F.nanvl("lo", F.lit(None).cast("double")).alias("lo"), F.nanvl("hi", F.lit(None).cast("double")).alias("hi"))
 
 
@@ -178,6 +291,14 @@ def backtest(df: DataFrame, models: list[str], series: str, day: str, value: str
     return out.withColumn("err", F.col("actual") - F.col("pred"))
 
 
+def common_rows(errors: DataFrame, series: str) -> DataFrame:
+    """Rows that every model in ``errors`` has a forecast for, so that models are compared over the same ones."""
+    models = errors.select("model").distinct().agg(F.count(F.lit(1)).alias("_models"))
+    have = errors.filter("err is not null").groupBy(series, "origin", "h").agg(F.count_distinct("model").alias("_have"))
+    whole = have.join(F.broadcast(models)).filter("_have = _models").drop("_have", "_models")
+    return errors.join(whole, [series, "origin", "h"], "left_semi")
+
+
 def summary(errors: DataFrame) -> DataFrame:
     e = F.col("err")
     return errors.groupBy("model").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.count(e).alias("n"))

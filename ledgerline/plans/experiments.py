@@ -109,19 +109,28 @@ def aa_replay(t):
     return X.aa_replay(per_user, "user_id", "day", "n", "x", replays=2000)
 
 
-@query("bayes_ab", f"""WITH {ARMS}, q AS (SELECT xa + 1.0::DOUBLE AS a1, na - xa + 1.0::DOUBLE AS b1, xb + 1.0::DOUBLE AS a2, nb - xb + 1.0::DOUBLE AS b2 FROM arms),
+def posterior_sql(grid):
+    """The mass of both posteriors on a grid; ``w`` has i, p, step, wa, wb."""
+    return f"""{ARMS}, q AS (SELECT xa + 1.0::DOUBLE AS a1, na - xa + 1.0::DOUBLE AS b1, xb + 1.0::DOUBLE AS a2, nb - xb + 1.0::DOUBLE AS b2 FROM arms),
 m AS (SELECT *, a1 / (a1 + b1) AS m1, sqrt(a1 * b1 / ((a1 + b1) * (a1 + b1) * (a1 + b1 + 1))) AS s1, a2 / (a2 + b2) AS m2, sqrt(a2 * b2 / ((a2 + b2) * (a2 + b2) * (a2 + b2 + 1))) AS s2 FROM q),
 g AS (SELECT *, greatest(least(m1 - 8 * s1, m2 - 8 * s2), 0.0) AS lo, least(greatest(m1 + 8 * s1, m2 + 8 * s2), 1.0) AS hi FROM m),
-pts AS (SELECT i, a1, b1, a2, b2, lo + (hi - lo) * (i + 0.5) / {X.GRID} AS p FROM g, (SELECT unnest(range({X.GRID})) AS i)),
-lg AS (SELECT i, p, (a1 - 1) * ln(p) + (b1 - 1) * ln(1 - p) AS la, (a2 - 1) * ln(p) + (b2 - 1) * ln(1 - p) AS lb FROM pts),
-d AS (SELECT i, p, exp(la - max(la) OVER ()) AS da, exp(lb - max(lb) OVER ()) AS db FROM lg),
-w AS (SELECT i, p, da / sum(da) OVER () AS wa, db / sum(db) OVER () AS wb FROM d),
+pts AS (SELECT i, a1, b1, a2, b2, (hi - lo) / {grid} AS step, lo + (hi - lo) * (i + 0.5) / {grid} AS p FROM g, (SELECT unnest(range({grid})) AS i)),
+lg AS (SELECT i, p, step, (a1 - 1) * ln(p) + (b1 - 1) * ln(1 - p) AS la, (a2 - 1) * ln(p) + (b2 - 1) * ln(1 - p) AS lb FROM pts),
+d AS (SELECT i, p, step, exp(la - max(la) OVER ()) AS da, exp(lb - max(lb) OVER ()) AS db FROM lg),
+w AS (SELECT i, p, step, da / sum(da) OVER () AS wa, db / sum(db) OVER () AS wb FROM d)"""
+
+
+@query("bayes_ab", f"""WITH {posterior_sql(X.GRID)},
 cu AS (SELECT p, wa, wb, COALESCE(sum(wa) OVER o, 0) AS ca, COALESCE(sum(wb) OVER o, 0) AS cb, COALESCE(sum(wb * p) OVER o, 0) AS mb FROM w WINDOW o AS (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT round(sum(wb * (ca + wa / 2)), 6) AS p_b_beats_a, round(sum(wa * (p * cb - mb)), 6) AS expected_loss FROM cu""")
 def bayes_ab(t):
     return rnd(X.bayes_compare(X.two_arms(days(t))))
 
 
-@query("bayes_lift_ci")
+@query("bayes_lift_ci", f"""WITH {posterior_sql(X.LIFT_GRID)},
+e AS (SELECT b.i - a.i AS d, sum(a.wa * b.wb) AS m, max(a.step) AS step FROM w a, w b GROUP BY 1),
+cu AS (SELECT d, m, step, sum(m) OVER (ORDER BY d ROWS UNBOUNDED PRECEDING) AS c FROM e)
+SELECT round(sum(m * d * step), 6) AS mean_lift, round(max(step * (d - 0.5 + (0.025 - (c - m)) / m)) FILTER (c >= 0.025 AND c - m < 0.025), 6) AS low,
+ round(max(step * (d - 0.5 + (0.975 - (c - m)) / m)) FILTER (c >= 0.975 AND c - m < 0.975), 6) AS high FROM cu""")
 def bayes_lift_ci(t):
-    return X.bayes_lift_interval(X.two_arms(days(t)))
+    return rnd(X.bayes_lift_interval(X.two_arms(days(t))))

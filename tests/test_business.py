@@ -83,13 +83,18 @@ def test_published_comparison(spark):
     b = X.bayes_compare(arms).first()
     assert b.p_b_beats_a == pytest.approx(0.9999986, abs=2e-7) and b.expected_loss == pytest.approx(1.0e-9, rel=0.2)
     lift = X.bayes_lift_interval(arms).first()
-    assert lift.draws == 200_000 and lift.low == pytest.approx(0.00981, abs=2e-4) and lift.high == pytest.approx(0.02394, abs=2e-4)
+    assert lift.low == pytest.approx(0.00981, abs=5e-6) and lift.high == pytest.approx(0.02394, abs=5e-6)
 
 
-def test_draws_do_not_depend_on_partitions(spark):
-    arms = spark.createDataFrame([(100, 10, 100, 14)], "na bigint, xa bigint, nb bigint, xb bigint")
-    a, b = X.bayes_lift_interval(arms, 5000, 1000).first(), X.bayes_lift_interval(arms.repartition(3), 5000, 1000).first()
-    assert a == b
+def test_lift_interval_against_draws(spark):
+    """Skewed posteriors, where no normal approximation holds."""
+    for na, xa, nb, xb in ((40, 1, 25, 3), (10, 0, 10, 0), (100, 10, 100, 14), (7, 7, 900, 850)):
+        got = X.bayes_lift_interval(spark.createDataFrame([(na, xa, nb, xb)], "na bigint, xa bigint, nb bigint, xb bigint")).first()
+        rng = np.random.default_rng(3)
+        draws = rng.beta(1 + xb, 1 + nb - xb, 1_000_000) - rng.beta(1 + xa, 1 + na - xa, 1_000_000)
+        spread = draws.std()
+        assert got.mean_lift == pytest.approx((1 + xb) / (2 + nb) - (1 + xa) / (2 + na), abs=1e-3 * spread)
+        assert got.low == pytest.approx(np.quantile(draws, 0.025), abs=0.01 * spread) and got.high == pytest.approx(np.quantile(draws, 0.975), abs=0.01 * spread)
 
 
 def test_power_at_the_design_point(spark):
@@ -113,3 +118,21 @@ def test_peeking_inflates_false_positives(spark):
     rows = rows.withColumn("n", F.lit(1)).withColumn("x", (F.pmod(F.xxhash64("u", "d"), F.lit(10)) == 0).cast("int"))
     r = X.aa_replay(rows, "u", "d", "n", "x", replays=300).first()
     assert r.replays == 300 and 0.01 < r.fpr_fixed < 0.11 and r.fpr_peeking > r.fpr_fixed + 0.05
+
+
+def test_replay_sums_against_plain_sums(spark):
+    rows = [(u, d, (u * d) % 5, (u + d) % 3) for u in range(60) for d in (1, 2, 3) if (u + d) % 4] + [(None, 1, 2, 1), (5, None, 9, 9)]
+    df = spark.createDataFrame(rows, "u long, d int, n int, x int").repartition(5)
+    got = {(r.replay, r.day): (r.n_0, r.x_0, r.n_1, r.x_1) for r in X.replay_sums(df, "u", "d", "n", "x", 130, 7).collect()}
+    hashes = {r.u: r.h for r in df.select("u", F.xxhash64(F.lit(7), "u").alias("h")).collect()}
+    arm = {u: X.sides(np.array([h]), 130)[0] for u, h in hashes.items()}
+    want = {}
+    for u, d, n, x in rows:
+        for r in range(130 if d is not None else 0):
+            held = want.setdefault((r + 1, d), [0, 0, 0, 0])
+            held[2 * arm[u][r]] += n
+            held[2 * arm[u][r] + 1] += x
+    assert got == {k: tuple(v) for k, v in want.items()}
+    # Sides are even and differ between replays.
+    share = np.array([arm[u] for u in range(60)]).mean(axis=0)
+    assert 0.4 < share.mean() < 0.6 and len({tuple(c) for c in np.array([arm[u] for u in range(60)]).T}) == 130
