@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,7 +63,12 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-OWNED: list[str] = []
+#: Tables written by ``stored``, oldest first, per application.
+OWNED: dict[str, list[str]] = {}
+
+
+def owned(spark: SparkSession) -> list[str]:
+    return OWNED.setdefault(spark.sparkContext.applicationId, [])
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -73,16 +79,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    OWNED.append(path)
-    return spark.read.schema(schema).parquet(path)
+    owned(spark).append(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables written by ``stored``; frames that still read them can't be used afterwards."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while OWNED:
-        path = jvm.org.apache.hadoop.fs.Path(OWNED.pop())
+def release(spark: SparkSession, since: int = 0, keep: Iterable[DataFrame] = ()) -> None:
+    """Remove tables written by ``stored``, from the ``since``-th on, but for those in ``keep``.
+
+    Frames that still read them can't be used afterwards.  ``len(owned(spark))`` before a piece of work is the
+    ``since`` that stands for what it writes.
+    """
+    jvm, conf, tables = spark._jvm, spark._jsc.hadoopConfiguration(), owned(spark)
+    kept = {getattr(df, "stored_at", None) for df in keep}
+    for place in [p for p in tables[since:] if p not in kept]:
+        path = jvm.org.apache.hadoop.fs.Path(place)
         path.getFileSystem(conf).delete(path, True)
+        tables.remove(place)
 
 
 def shuffle_width(spark: SparkSession, ceiling: int = 512) -> int:
