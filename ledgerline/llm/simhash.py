@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import owned, release, stored
 from .common import per_row, raw_text, text_key, word_pieces
 
 SEGMENTS = 16
@@ -177,17 +177,17 @@ def keep_one(
     It is the row with the smallest ident (null last), then the smallest hash of the text.  Rows that share both
     are repeated rows; of those the smallest by all columns stays.
     """
-    keyed = docs.select(F.col(ident), "text", text_key().alias("_key"))
+    spark, since = docs.sparkSession, len(owned(docs.sparkSession))
     if similar is None:
+        keyed = docs.select(F.col(ident), "text", text_key().alias("_key"))
         marks, more = stored(fingerprints(keyed, words, seed, ident, ["_key"]), "fingerprints"), None
     else:
-        from .shingle_links import band_keys, with_similar
+        from .shingle_links import fingerprinted, with_similar
 
-        both = per_row(keyed, [raw_text()], lambda: lambda raw: (fingerprint(raw, words, seed), band_keys(raw)), "fp long, bands array<long>", [ident, "_key"])
-        marks = stored(both, "fingerprints")
+        marks, counts = fingerprinted(docs, ident, words, seed)
 
         def more(links: DataFrame) -> DataFrame:
-            return with_similar(docs, marks, links, similar)
+            return with_similar(docs, marks, counts, links, similar)
 
     names = component_names(marks, distance, ident, more)
     order = F.struct(F.col(ident).isNull().alias("no"), F.col(ident).alias("id"), F.col("_key").alias("key"))
@@ -195,12 +195,21 @@ def keep_one(
     rows = stored(rows, "fingerprint-rows")
     best = stored(rows.groupBy("root").agg(F.min(order).alias("best")), "fingerprint-best")
     judged = rows.join(best, "root").withColumn("stays", order.eqNullSafe(F.col("best")))
-    judged = stored(judged.select(F.col(ident).alias("_id"), F.col("_key").alias("_k"), "n", "stays"), "fingerprint-judged")
-    same = F.col(ident).eqNullSafe(F.col("_id")) & (text_key() == F.col("_k"))
-    kept = docs.join(judged.filter("not stays"), same, "left_anti")
-    repeated = judged.filter("stays and n > 1").select("_id", "_k")
+    judged = stored(judged.select(F.col(ident).alias("id"), F.col("_key").alias("key"), "n", "stays"), "fingerprint-judged")
+    release(spark, since, [judged])
+    # The row is one value here, so no column of it can clash with those of the judgement.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row.text")
+    whole = whole.select("row", F.col("row").getField(ident).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"))
+
+    def same(other: DataFrame) -> Column:
+        return whole["id"].eqNullSafe(other["id"]) & (whole["key"] == other["key"])
+
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    gone, repeated = judged.filter("not stays"), judged.filter("stays and n > 1").select("id", "key")
     if repeated.isEmpty():
-        return kept
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    once = kept.join(repeated, same, "left_semi").groupBy(F.col(ident).alias("_id"), text_key().alias("_k")).agg(F.min(row).alias("_row"))
-    return kept.join(repeated, same, "left_anti").unionByName(once.select("_row.*"))
+        return whole.join(gone, same(gone), "left_anti").select(*columns)
+    # Repeated rows are few: what stays of them is found apart, the rest is passed through.
+    other = judged.filter("not stays or n > 1")
+    once = whole.join(repeated, same(repeated), "left_semi").groupBy("id", "key").agg(F.min("row").alias("row"))
+    return whole.join(other, same(other), "left_anti").select(*columns).unionByName(once.select(*columns))

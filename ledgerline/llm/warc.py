@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import OWNED, fresh_path, stored
+from ..session import fresh_path, owned, stored
 
 DATE = "2000-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20
@@ -176,7 +176,7 @@ def write_archive(
 
     path = f"{folder.rstrip('/')}/manifest"
     sorted_rows.mapInArrow(run, MANIFEST).write.parquet(path)
-    OWNED.append(folder)
+    owned(pages.sparkSession).append(folder)
     return pages.sparkSession.read.schema(MANIFEST).parquet(path)
 
 

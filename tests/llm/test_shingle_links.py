@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,9 +43,11 @@ def rows_with_copies():
     return rows
 
 
-@pytest.mark.parametrize("small", [8, 2])
-def test_one_of_each_group_stays(spark, monkeypatch, small):
-    monkeypatch.setattr(L, "SMALL", small)
+@pytest.mark.parametrize("turns", [8, 0])
+def test_one_of_each_group_stays(spark, monkeypatch, turns):
+    """With and without leaders: what they leave is found block by block."""
+    monkeypatch.setattr(L, "TURNS", turns)
+    monkeypatch.setattr(L, "BLOCK", 3)
     rows = rows_with_copies()
     marks = [S.fingerprint((t or "").encode()) % (1 << 64) for _, t in rows]
     linked = [[(marks[i] ^ marks[j]).bit_count() <= 2 or slow_similarity(rows[i][1], rows[j][1]) >= 0.8 for j in range(len(rows))] for i in range(len(rows))]
@@ -53,23 +56,32 @@ def test_one_of_each_group_stays(spark, monkeypatch, small):
         low = [min(group[j] for j in range(len(rows)) if linked[i][j]) for i in range(len(rows))]
         changed, group = low != group, low
     want = sorted(min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if group[i] == g) for g in set(group))
-    df = spark.createDataFrame([(d, t, "x", 1.5) for d, t in rows], "doc_id long, text string, key string, same double")
+    df = spark.createDataFrame([(d, t, "x", 1.5) for d, t in rows], "doc_id long, text string, key string, _id double")
     kept = S.keep_one(df, similar=0.8)
     assert kept.columns == df.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == want
 
 
-def test_chance_of_a_shared_band():
-    pick = random.Random(1)
-    words = [f"w{pick.randint(0, 10**6)}" for _ in range(404)]
-    missed = 0
-    for _ in range(200):
-        copy = list(words)
-        for at in pick.sample(range(400), 9):
-            copy[at] = f"x{pick.random()}"
-        if slow_similarity(" ".join(words), " ".join(copy)) >= 0.8:
-            missed += not set(L.band_keys(" ".join(words).encode())) & set(L.band_keys(" ".join(copy).encode()))
-    assert missed == 0
+def test_parity_never_overstates():
+    pick = np.random.default_rng(2)
+    for _ in range(300):
+        both = pick.integers(0, 2**63, pick.integers(0, 400), dtype=np.uint64)
+        a = np.unique(np.concatenate([both, pick.integers(0, 2**63, pick.integers(0, 300), dtype=np.uint64)]))
+        b = np.unique(np.concatenate([both, pick.integers(0, 2**63, pick.integers(0, 3000), dtype=np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        found = L.differ_at_least(*[L.parity(x, L.parity_bits(len(x))).tobytes() for x in (a, b)])
+        short = L.differ_at_least(*[L.folded(L.parity(x, L.parity_bits(len(x))), L.SHORT // 8).tobytes() for x in (a, b)])
+        assert short <= found <= apart
+
+
+def test_prefixes_of_near_sets_meet():
+    pick = np.random.default_rng(3)
+    counts = pick.integers(0, 5, L.CELLS)
+    for _ in range(300):
+        a = np.unique(pick.integers(0, 2**64, pick.integers(1, 200), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[pick.random(len(a)) < 0.9], pick.integers(0, 2**64, pick.integers(0, 10), dtype=np.uint64)]))
+        if len(b) and L.similarity(a.tobytes(), b.tobytes()) >= 0.8:
+            assert set(L.prefix(a, counts, 0.8).tolist()) & set(L.prefix(b, counts, 0.8).tolist())
 
 
 def kept_by_brute_force(rows):
@@ -84,9 +96,9 @@ def kept_by_brute_force(rows):
     return sorted(min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in set(group))
 
 
-@pytest.mark.parametrize("bands", ["one bucket", "no bucket"])
-def test_pairs_among_texts_that_share_a_passage(spark, monkeypatch, bands):
-    """120 pairs of copies and 60 single texts, all with one passage; the bands put all into one bucket, or show nothing."""
+@pytest.mark.parametrize("order", ["by counts", "passage first"])
+def test_pairs_among_texts_that_share_a_passage(spark, monkeypatch, order):
+    """120 pairs of copies and 60 single texts, all with one passage; once in an order that puts all into the same buckets."""
     pick = random.Random(4)
     passage = " ".join(f"p{i}" for i in range(120))
     rows = []
@@ -98,8 +110,10 @@ def test_pairs_among_texts_that_share_a_passage(spark, monkeypatch, bands):
                 copy[pick.randrange(36)] = f"changed{g}"
             rows.append((len(rows), passage + " " + " ".join(copy)))
     pick.shuffle(rows)
-    made = [7] if bands == "one bucket" else []
-    monkeypatch.setattr(L, "band_keys", lambda raw: made)
+    if order == "passage first":
+        common = set(L.cell_of(L.shingle_set(passage.encode())).tolist())
+        first = np.array([0 if i in common else 1 for i in range(L.CELLS)])
+        monkeypatch.setattr(L, "merged", lambda pieces, n, size, kind, add, real=L.merged: first if kind is np.int64 else real(pieces, n, size, kind, add))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in S.keep_one(df, similar=0.8).collect()) == kept_by_brute_force(rows)
 
