@@ -20,36 +20,46 @@ REST = "(rest)"
 DIMENSIONS = ("source", "lang", "topic")
 
 
-def bytes_of(text: Column, sign: str) -> Column:
-    """How often a one-byte sign stands in a text; byte counts need no decoding."""
-    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def signs_in(text: Column, signs: str) -> Column:
+    """How often some ASCII signs stand in a text: what its bytes lose without them."""
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(s), F.lit(""))) for s in signs), F.lit(0))
 
 
 def token_weight(text: Column) -> Column:
-    """Tokens of a text for weighing: its breaks (spaces and line ends) plus one; none if it is null or blank."""
-    whole = F.coalesce(text, F.lit(""))
-    breaks = bytes_of(whole, " ") + bytes_of(whole, "\n")
-    return F.when(F.octet_length(whole) > breaks, breaks + 1).otherwise(0).cast("long")
+    """Tokens of a text for weighing: its words, cut at white space (space, 0x09-0x0D); null has none.
+
+    Each word with the blanks behind it becomes one sign, so no list of words is made.
+    """
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANK))
+    starts = F.regexp_replace(inner, r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")
+    return F.octet_length(starts).cast("long")
 
 
 def form_topic(text: Column) -> Column:
-    """A topic by the form of a text, for corpora without topics: tables, talk, and prose by length."""
+    """A topic by the form of a text, for corpora without topics: tables and lists, numbers, talk, short or long prose."""
     whole = F.coalesce(text, F.lit(""))
-    size = F.octet_length(whole)
+    size = F.greatest(F.length(whole), F.lit(1))
+
+    def share(signs: str) -> Column:
+        return signs_in(whole, signs) / size
+
     return (
-        F.when(100 * bytes_of(whole, "|") > size, "table").when(50 * bytes_of(whole, "!") > size, "talk")
-        .when(size < 1000, "short").when(size < 6000, "article").otherwise("long")
+        F.when(share("|\t") > 0.01, "table").when(share("0123456789") > 0.05, "numbers").when(share("!?") > 0.02, "talk")
+        .when(F.length(whole) < 1000, "short").when(F.length(whole) < 6000, "article").otherwise("long")
     )
 
 
 def classes(docs: DataFrame, targets: dict[str, dict[str, float]], topic: Column | None = None) -> DataFrame:
-    """``docs`` with columns _source, _lang, _topic (the class a target names, or REST) and _tokens."""
+    """(row, _source, _lang, _topic, _tokens): the whole row as one value, its classes (one a target names, or REST) and its tokens."""
     made = {"source": F.col("source"), "lang": F.col("lang"), "topic": form_topic(F.col("text")) if topic is None else topic}
-    out = docs.withColumn("_tokens", token_weight(F.col("text")))
-    for name in DIMENSIONS:
-        named = [k for k in targets.get(name, {}) if k != REST]
-        out = out.withColumn(f"_{name}", F.when(made[name].isin(named), made[name]).otherwise(REST) if named else F.lit(REST))
-    return out
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    raw = docs.select(row, token_weight(F.col("text")).alias("_tokens"), *[made[d].alias(f"_{d}") for d in DIMENSIONS])
+    named = {d: [k for k in targets.get(d, {}) if k != REST] for d in DIMENSIONS}
+    kept = [(F.when(F.col(f"_{d}").isin(named[d]), F.col(f"_{d}")).otherwise(REST) if named[d] else F.lit(REST)).alias(f"_{d}") for d in DIMENSIONS]
+    return raw.select("row", "_tokens", *kept)
 
 
 def cell_counts(classed: DataFrame) -> DataFrame:
@@ -92,7 +102,7 @@ def shares(cells: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]], tolerance: float = 1e-6, sweeps: int = 4, rounds: int = 12) -> DataFrame:
-    """(cells, goal per dimension, weight): weights sum to 1 and meet the goals of every dimension.
+    """(cells, goal per dimension, weight, miss): weights sum to 1 and meet the goals of every dimension, up to ``miss``.
 
     Runs rounds of ``sweeps`` sweeps until the largest relative miss of a marginal is under ``tolerance``, or ``rounds`` are over
     (goals that contradict each other, as when a source has one language only).
@@ -105,9 +115,10 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], tolerance: floa
                 sums = F.sum("weight").over(Window.partitionBy(f"_{name}"))
                 now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * F.col(f"goal_{name}") / sums).otherwise(0.0))
         now = stored(now, "raked-cells").coalesce(1)
-        if worst_miss(now) < tolerance:
+        miss = worst_miss(now)
+        if miss < tolerance:
             break
-    return now
+    return now.withColumn("miss", F.lit(miss))
 
 
 def worst_miss(cells: DataFrame) -> float:
@@ -143,16 +154,16 @@ def mix(
     the three added ones are replaced.
     """
     names = ("weight", "probability", "copies")
-    plain = docs.drop(*names)
-    classed = classes(plain, targets, topic)
+    plain = [c for c in docs.columns if c not in names]
+    classed = classes(docs, targets, topic)
     cells = stored(cell_counts(classed), "cells")
     keys = [f"_{d}" for d in DIMENSIONS]
     # At most one row per combination of named classes: bounded by the targets.
     table = F.broadcast(rates(rake(cells, targets), share).select(*keys, F.col("weight").alias("_weight"), F.col("rate").alias("_rate")))
     weighed = classed.join(table, keys, "left")
     rate = F.when(F.col("_tokens") > 0, F.col("_rate")).otherwise(0.0)
-    more = (draw(F.col(ident), F.col("text"), seed) < rate - F.floor(rate)).cast("int")
+    more = (draw(F.col("row").getField(ident), F.col("row.text"), seed) < rate - F.floor(rate)).cast("int")
     return weighed.select(
-        *[F.col(f"`{c}`") for c in plain.columns], F.when(F.col("_tokens") > 0, F.col("_weight")).otherwise(0.0).alias("weight"),
+        *[F.col("row").getField(c).alias(c) for c in plain], F.when(F.col("_tokens") > 0, F.col("_weight")).otherwise(0.0).alias("weight"),
         F.least(rate, F.lit(1.0)).alias("probability"), (F.floor(rate).cast("int") + more).alias("copies"),
     )

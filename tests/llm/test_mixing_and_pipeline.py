@@ -1,5 +1,6 @@
 """Raking against plain Python; the pipeline's stages together."""
 
+import random
 import re
 
 import pytest
@@ -67,8 +68,46 @@ def test_odd_rows(spark):
     assert M.mix(df.limit(0), MIX).count() == 0
     counted = df.select(M.token_weight(M.F.col("text")).alias("n"), "text").collect()
     for r in counted:
-        t = r.text or ""
-        assert r.n == (len(re.findall("[ \n]", t)) + 1 if t.strip(" \n") else 0)
+        assert r.n == len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))
+
+
+def slow_topic(text):
+    t = text or ""
+    size = max(len(t), 1)
+    for name, signs, least in (("table", "|\t", 0.01), ("numbers", "0123456789", 0.05), ("talk", "!?", 0.02)):
+        if sum(c in signs for c in t) / size > least:
+            return name
+    return "short" if len(t) < 1000 else "article" if len(t) < 6000 else "long"
+
+
+def test_words_and_topics_by_hand(spark):
+    pick = random.Random(6)
+    texts = ["".join(pick.choices("aé　 \t\n\x0b\x0c\r\x1c|!?0123 ", k=pick.randint(0, 40))) for _ in range(400)]
+    texts += ["a  b", "a\tb\tc", None, "", " \r ", "é" * 999, "é" * 1000, "é" * 6000, "x " * 200_000, "a|" + "b" * 198, "a|" + "b" * 97, "5" * 6 + "w" * 100, "?" * 3 + "w" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", M.token_weight(M.F.col("text")).alias("n"), M.form_topic(M.F.col("text")).alias("topic")).collect():
+        assert r.n == len(re.findall("[^\x20\x09-\x0d]+", r.text or "")), r.text
+        assert r.topic == slow_topic(r.text), r.text
+
+
+def test_columns_of_any_name_pass_through_all_stages(spark):
+    """Names that operators use inside, on documents that all stages keep."""
+    names = ["_source", "_lang", "_topic", "_tokens", "_weight", "_rate", "_id", "_k", "_key", "_quality", "_in0", "row", "id", "key", "fp", "n"]
+    docs = SourceRegistry(spark, SF).documents
+    odd = docs.select("*", *[M.F.concat(M.F.lit(f"{c} "), M.F.col("doc_id").cast("string")).alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, odd, SF)
+        assert after.columns[: len(odd.columns)] == odd.columns, name
+        rows = after.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in names), name
+
+
+def test_miss_is_told_when_goals_contradict(spark):
+    rows = [(i, "word " * 20, "en" if i % 2 else "de", "a" if i % 2 else "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for lang, met in (({"en": 0.5, "de": 0.5}, True), ({"en": 0.9, "de": 0.1}, False)):
+        targets = {"source": {"a": 0.5, "b": 0.5}, "lang": lang}
+        assert (M.rake(M.cell_counts(M.classes(df, targets)), targets).first().miss < 1e-6) == met
 
 
 def test_pipeline_stages(spark):
