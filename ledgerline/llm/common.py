@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,6 +42,14 @@ def word_pieces(raw: bytes, size: int = 1 << 16) -> Iterator[list[bytes]]:
     yield piece
 
 
+def unused(taken: Iterable[str], stem: str) -> str:
+    """``stem``, made longer until no name in ``taken`` is like it."""
+    held = {c.lower() for c in taken}
+    while stem.lower() in held:
+        stem += "_"
+    return stem
+
+
 def per_row(
     df: DataFrame, inputs: list[Column], make: Callable[[], Callable], schema: str, keep: list[str] | None = None
 ) -> DataFrame:
@@ -51,7 +59,7 @@ def per_row(
     named and typed by ``schema``.  Columns in ``keep`` are handed through unread.
     """
     keep = keep or []
-    names = [f"_in{i}" for i in range(len(inputs))]
+    names = [unused(keep, f"_in{i}") for i in range(len(inputs))]
     source = df.select(*[F.col(f"`{c}`") for c in keep], *[c.alias(n) for c, n in zip(inputs, names, strict=True)])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(keep)])
     fields = arrow_fields(df, schema)

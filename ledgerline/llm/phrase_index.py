@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import owned, release, stored
 from .common import text_key
 
 WINDOW = 13
@@ -163,7 +163,15 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, ident: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated, all columns unchanged."""
-    marked = stored(contamination(docs, benchmark, window, share, ident).filter("contaminated"), "contaminated")
-    gone = marked.select(F.col(ident).alias("_id"), F.col("key").alias("_key")).distinct()
-    return docs.join(gone, F.col(ident).eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+    """The rows of ``docs`` that aren't contaminated, all columns unchanged, whatever their names.
+
+    Null and empty texts are clean.  Repeated rows stay or go together; an empty table on either side drops nothing.
+    """
+    since = len(owned(docs.sparkSession))
+    found = contamination(docs.select(ident, "text"), benchmark, window, share, ident).filter("contaminated")
+    gone = stored(found.select(F.col(ident).alias("id"), "key").distinct(), "contaminated")
+    release(docs.sparkSession, since, [gone])
+    # The row is one value here, so no column of it can clash with those of the judgement.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(ident).alias("id"), text_key().alias("key"))
+    clean = whole.join(gone, whole["id"].eqNullSafe(gone["id"]) & (whole["key"] == gone["key"]), "left_anti")
+    return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

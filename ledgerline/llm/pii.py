@@ -389,7 +389,10 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask(docs: DataFrame, least: float = LEAST_SCORE, column: str = "text") -> DataFrame:
-    """``docs`` with personal data in ``column`` replaced by [EMAIL], [IP], [CARD] or [PHONE]; null texts stay null, other columns are unchanged."""
+    """``docs`` with personal data in ``column`` replaced by [EMAIL], [IP], [CARD] or [PHONE]; null texts stay null, other columns are unchanged.
+
+    Rows are masked one by one: repeated rows stay repeated, and an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(trained())
 
     def make():

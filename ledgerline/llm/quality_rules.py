@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import LONG_TEXT, per_row, raw_text, text_key, word_pieces
+from .common import LONG_TEXT, per_row, raw_text, text_key, unused, word_pieces
 
 STATISTICS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -176,7 +176,9 @@ def log_odds(model: Model, cast: list[Column]) -> Column:
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5, min_words: int = 50, most_repeated: int = 50) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns unchanged.
+    """The rows of ``docs`` that are kept, all columns unchanged, whatever their names.
+
+    Null and empty texts have no words and go.  Repeated rows stay or go together; an empty table gives no rows.
 
     The verdict is a function of the row's own text once the model is fitted, so statistics are computed a second
     time beside the rows rather than joined to them: no text is shuffled.
@@ -188,6 +190,7 @@ def keep_good(docs: DataFrame, threshold: float = 0.5, min_words: int = 50, most
     def make():
         return lambda raw: (dict(zip(NAMES, statistics(raw), strict=True)),)
 
-    beside = per_row(docs, [raw_text()], make, f"_quality struct<{kind}>", docs.columns)
-    good = log_odds(model, votes("_quality.")) >= math.log(threshold / (1 - threshold))
-    return beside.filter(~base_failed(min_words, most_repeated, "_quality.") & good).drop("_quality")
+    name = unused(docs.columns, "_quality")
+    beside = per_row(docs, [raw_text()], make, f"`{name}` struct<{kind}>", docs.columns)
+    good = log_odds(model, votes(f"{name}.")) >= math.log(threshold / (1 - threshold))
+    return beside.filter(~base_failed(min_words, most_repeated, f"{name}.") & good).drop(name)
