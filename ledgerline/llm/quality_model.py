@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import per_row, raw_text
+from .common import per_row, raw_text, text_key, unused
 from .quality_rules import NAMES, statistics
 
 BINS, DEPTH, TREES, RATE, LEAST = 64, 4, 80, 0.15, 3.0
@@ -142,10 +142,13 @@ def quality_scores(
     texts have all statistics zero and a score as well.  Without labels every score is 0.5; an empty table gives no
     rows.  Ident, language and source are never inputs; other columns are ignored.
     """
-    table = stored(per_row(docs, [raw_text()], lambda: features, "x array<double>", [ident]), "quality-features")
+    keyed = docs.select(ident, "text", text_key().alias(unused([ident], "key")))
+    table = stored(per_row(keyed, [raw_text()], lambda: features, "x array<double>", [ident, keyed.columns[2]]), "quality-features")
     chosen = training_labels(labels, "quality", ident, parts, part, sample_rows)
     # Bounded by sample_rows; sorted, so that the sums of the fit don't depend on the order of arrival.
-    rows = sorted((r["x"], r["label"]) for r in table.join(chosen, ident).select("x", "label").limit(2 * sample_rows).collect())
+    # Of the rows of one ident, that with the smallest hash of its text.
+    one = table.join(chosen, ident).groupBy(ident).agg(F.max("label").alias("label"), F.min_by("x", keyed.columns[2]).alias("x"))
+    rows = sorted((r["x"], r["label"]) for r in one.select("x", "label").collect())
     model = fit(np.array([r[0] for r in rows]).reshape(-1, len(FEATURES)), np.array([r[1] for r in rows]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -153,7 +156,7 @@ def quality_scores(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
             score = np.concatenate([shared.value.score(x[i : i + 4096]) for i in range(0, len(x), 4096)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=[ident, "score"])
 

@@ -20,11 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import clear_text, per_row
+from .common import clear_text, per_row, text_key
 from .quality_model import held_out, training_labels
 
 SAMPLE_ROWS = 20_000
-LEXICON_ROWS = 2_000
 LEAST_LIFT, LEAST_SIGNIFICANCE = 8.0, 16.0
 STEM = (4, 9)
 FUZZY_FROM = 5
@@ -181,8 +180,10 @@ class Lexicon:
         return any(w in REPORTING for w in found[max(0, i - 3) : i])
 
 
-def learn_terms(worded: DataFrame, rows: int = LEXICON_ROWS) -> list[tuple[str, bool, float]]:
-    """The lexicon from (words array, label): at most ``rows`` terms, the most significant first.
+def learn_terms(worded: DataFrame) -> list[tuple[str, bool, float]]:
+    """The lexicon from (words array, label): all significant terms, the most significant first.
+
+    Each term stands in three or more of the documents that it is learnt from, whose number is bounded.
 
     Documents are counted per word, then per stem over its words.  A term is kept if it is LEAST_LIFT times likelier
     in toxic documents and significant by the likelihood ratio; a stem whose longer form says as much is dropped.
@@ -203,7 +204,7 @@ def learn_terms(worded: DataFrame, rows: int = LEXICON_ROWS) -> list[tuple[str,
     lift = ((F.col("hit") + 0.25) / t) / ((F.col("seen") - F.col("hit") + 0.25) / (n - t))
     sure = 2 * F.col("hit") * F.log(F.col("hit") / F.col("seen") / F.lit(t / n))
     chosen = both.filter((F.col("hit") >= 3) & (lift >= LEAST_LIFT)).withColumn("lift", F.log(lift)).withColumn("sure", sure)
-    chosen = chosen.filter(F.col("sure") >= LEAST_SIGNIFICANCE).orderBy(F.desc("sure"), "term", "open").limit(rows).collect()
+    chosen = chosen.filter(F.col("sure") >= LEAST_SIGNIFICANCE).orderBy(F.desc("sure"), "term", "open").collect()
     hits = {(r["term"], r["open"]): r["hit"] for r in chosen}
     longer: dict[str, float] = {}
     for (term, is_open), hit in hits.items():
@@ -233,7 +234,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: in
 
 def toxicity(
     docs: DataFrame, labels: DataFrame, ident: str = "doc_id", parts: int = 3, part: int = 1, threshold: float = 0.7,
-    sample_rows: int = SAMPLE_ROWS, lexicon_rows: int = LEXICON_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(ident, held_out, score, predicted): one row per input row; a score near 1 means toxic.
 
@@ -244,10 +245,11 @@ def toxicity(
     """
     # Bounded by sample_rows, so it may be sent to every task; texts of other rows stay where they are.
     chosen = F.broadcast(training_labels(labels, "toxic", ident, parts, part, sample_rows))
-    sample = docs.select(ident, "text").join(chosen, ident)
+    # Of the rows of one ident, that with the smallest hash of its text; so the sample is bounded and doesn't depend on order.
+    sample = docs.select(ident, "text").join(chosen, ident).groupBy(ident).agg(F.max("label").alias("label"), F.min_by(F.coalesce("text", F.lit("")), text_key()).alias("text"))
     sample = stored(sample.select("label", clear_text()), "toxicity-sample")
     worded = per_row(sample, [F.col("text")], lambda: lambda text: (sorted(set(words(text))),), "words array<string>", ["label"])
-    terms = learn_terms(worded, lexicon_rows)
+    terms = learn_terms(worded)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(terms)
 
@@ -255,7 +257,7 @@ def toxicity(
         lexicon = Lexicon(shared.value)
         return lambda text: (lexicon.inputs(text),)
 
-    rows = per_row(sample, [F.col("text")], make_inputs, "x array<double>", ["label"]).limit(2 * sample_rows).collect()
+    rows = per_row(sample, [F.col("text")], make_inputs, "x array<double>", ["label"]).collect()
     rows = sorted((r["x"], r["label"]) for r in rows)
     model = fit_logistic(np.array([r[0] for r in rows]).reshape(-1, len(INPUTS)), np.array([r[1] for r in rows]))
     fitted = context.broadcast(model)

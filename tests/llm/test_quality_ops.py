@@ -114,3 +114,21 @@ def test_held_out_quality(spark):
     none = M.quality_scores(docs, t.labels.limit(0)).collect()
     assert all(r.score == 0.5 for r in none)
     assert M.quality_scores(docs.limit(0), t.labels).count() == 0
+
+
+def test_models_do_not_depend_on_order_or_repeats_of_an_ident(spark):
+    from ledgerline.llm import toxicity as T
+
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(60)] + ["vile", "rotten"]
+    rows, labels = [], []
+    for i in range(240):
+        bad = i % 3 == 0
+        rows += [(i % 120, " ".join(pick.choices(words[:60], k=30)) + (" vile rotten" if bad else ""))] * (1 + i % 2)
+        labels += [(i % 120, int(bad), int(bad)), (i % 120, None, None)]
+    rows += [(5, None), (None, "vile")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels + [(None, 1, 1)], "doc_id long, quality int, toxic int")
+    for run in (lambda d: M.quality_scores(d, marks.drop("toxic"), sample_rows=50), lambda d: T.toxicity(d, marks.drop("quality"), sample_rows=50)):
+        first = sorted(map(repr, run(docs).collect()))
+        assert len(first) == len(rows) and first == sorted(map(repr, run(docs.repartition(7, "text")).collect()))
