@@ -85,15 +85,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def release(spark: SparkSession, since: int = 0, keep: Iterable[DataFrame] = ()) -> None:
-    """Remove tables written by ``stored``, from the ``since``-th on, but for those in ``keep``.
+def release(spark: SparkSession, since: int = 0, keep: Iterable[DataFrame] = (), only: Iterable[str] | None = None) -> None:
+    """Remove tables written by ``stored``, from the ``since``-th on, but for those in ``keep``; or those ``only``, by path.
 
     Frames that still read them can't be used afterwards.  ``len(owned(spark))`` before a piece of work is the
     ``since`` that stands for what it writes.
     """
     jvm, conf, tables = spark._jvm, spark._jsc.hadoopConfiguration(), owned(spark)
     kept = {getattr(df, "stored_at", None) for df in keep}
-    for place in [p for p in tables[since:] if p not in kept]:
+    named = tables[since:] if only is None else [p for p in only if p in tables]
+    for place in [p for p in named if p not in kept]:
         path = jvm.org.apache.hadoop.fs.Path(place)
         path.getFileSystem(conf).delete(path, True)
         tables.remove(place)
