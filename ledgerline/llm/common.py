@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as the word rules name it: space and 0x09-0x0D.  ``bytes.split()`` cuts at exactly these.
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-LONG_TEXT = 1 << 24
+BLANK_SIGN = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def raw_text(column: str = "text") -> Column:
@@ -28,18 +27,16 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
-def word_pieces(raw: bytes, size: int = 1 << 16) -> Iterator[list[bytes]]:
-    """The words of a text in lists; a text over ``LONG_TEXT`` bytes is never held as one list of words."""
-    if len(raw) <= LONG_TEXT:
-        yield raw.split()
-        return
-    piece: list[bytes] = []
-    for found in WORD.finditer(raw):
-        piece.append(found.group())
-        if len(piece) == size:
-            yield piece
-            piece = []
-    yield piece
+def word_pieces(raw: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, from about ``size`` bytes at a time; at least one list."""
+    at = 0
+    while True:
+        cut = BLANK_SIGN.search(raw, at + size)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end].split()
+        if end == len(raw):
+            return
+        at = end
 
 
 def unused(taken: Iterable[str], stem: str) -> str:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import LONG_TEXT, per_row, raw_text, text_key, unused, word_pieces
+from .common import per_row, raw_text, text_key, unused
 
 STATISTICS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -68,7 +68,7 @@ def repeated(words: list[bytes]) -> int:
 
 def statistics(raw: bytes) -> tuple:
     """The columns of STATISTICS for one text, over all of it."""
-    words = raw.split() if len(raw) <= LONG_TEXT else [w for piece in word_pieces(raw) for w in piece]
+    words = raw.split()
     blank = sum(raw.count(c) for c in BLANK)
     points = len(raw) if raw.isascii() else len(raw.decode(errors="replace"))
     lines = [x for x in raw.split(b"\n") if x.strip(BLANK)]

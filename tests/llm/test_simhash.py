@@ -30,7 +30,11 @@ def test_long_text_in_pieces(monkeypatch):
 
     text = " ".join(f"w{i % 977}" for i in range(70_000))
     whole = S.fingerprint(text.encode())
-    monkeypatch.setattr(common, "LONG_TEXT", 10)
+    for raw in (b"", b" ", b"a", b" a  b\n", b"ab" * 30 + b" c ", text.encode()):
+        for size in (1, 2, 7, 1 << 20):
+            pieces = list(common.word_pieces(raw, size))
+            assert pieces and [w for p in pieces for w in p] == raw.split()
+    monkeypatch.setattr(S, "word_pieces", lambda raw: common.word_pieces(raw, 10))
     assert S.fingerprint(text.encode()) == whole == slow_fingerprint(text) - (1 << 64) * (slow_fingerprint(text) >> 63)
 
 
