@@ -66,8 +66,9 @@ def per_row(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = [batch.column(len(keep) + i).to_pylist() for i in range(len(names))]
-            rows = [work(*row) for row in zip(*values, strict=True)]
+            # One value at a time, so that a task holds a batch of texts once.
+            values = [batch.column(len(keep) + i) for i in range(len(names))]
+            rows = [work(*[v.as_py() for v in row]) for row in zip(*values, strict=True)]
             made = [pa.array(list(column), f.type) for column, f in zip(zip(*rows, strict=True), fields, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))] + made, names=keep + [f.name for f in fields]

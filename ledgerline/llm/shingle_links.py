@@ -36,7 +36,7 @@ CELLS, PIECE = 1 << 20, 1 << 16
 #: Bits of the sieves that drop what surely isn't asked for.
 SIEVE = 1 << 26
 #: Bits of the short parity that members of a bucket carry, and the largest parity of a text.
-SHORT, WIDE = 256, 1 << 16
+SHORT, WIDE = 1024, 1 << 16
 #: A shingle is hot if it has more than one entry in so many; members that meet in one block; turns with one leader.
 HOT, BLOCK, TURNS = 1000, 512, 8
 
@@ -113,9 +113,9 @@ def fingerprinted(docs: DataFrame, ident: str, words: int, seed: int) -> tuple[D
             if not batch.num_rows:
                 continue
             idents, marks = batch.column(0).type, []
-            for raw in batch.column(2).to_pylist():
-                own = shingle_set(raw)
-                np.add.at(counts, cell_of(own), 1)
+            for value in batch.column(2):
+                raw = value.as_py()
+                np.add.at(counts, cell_of(shingle_set(raw)), 1)
                 marks.append(fingerprint(raw, words, seed))
             empty = pa.nulls(batch.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.int64()), empty, pa.nulls(batch.num_rows, pa.binary())],
@@ -156,12 +156,13 @@ def sieve_of(df: DataFrame, column: str) -> np.ndarray:
     size = 1 << 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None
+        packed = None
         for batch in batches:
-            bits = np.zeros(SIEVE, dtype=bool) if bits is None else bits
-            bits[batch.column(0).to_numpy().view(np.uint64) % np.uint64(SIEVE)] = True
-        if bits is not None:
-            packed = np.packbits(bits).reshape(-1, size)
+            packed = np.zeros(SIEVE // 8, dtype=np.uint8) if packed is None else packed
+            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(SIEVE)
+            np.bitwise_or.at(packed, (at >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        if packed is not None:
+            packed = packed.reshape(-1, size)
             used = np.flatnonzero(packed.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([packed[i].tobytes() for i in used], pa.binary())], names=["piece", "data"])
 
@@ -180,16 +181,18 @@ def prefixes(docs: DataFrame, counts: np.ndarray, similar: float) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             out: list[tuple] = []
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if key in seen:
                     continue
                 seen.add(key)
-                own = shingle_set(raw)
+                own = shingle_set(value.as_py())
                 if len(own):
-                    out.append((key, len(own), prefix(own, counts, similar).view("<i8").tolist(), parity(own, parity_bits(len(own))).tobytes()))
+                    out.append((key, len(own), prefix(own, counts, similar).view("<i8"), parity(own, parity_bits(len(own))).tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()), strict=True)],
-                                                 names=["key", "n", "tokens", "parity"])
+                keys, sizes, tokens, parities = zip(*out, strict=True)
+                ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sizes, pa.int32()), lists, pa.array(parities, pa.binary())], names=["key", "n", "tokens", "parity"])
 
     return docs.select(text_key().alias("key"), raw_text()).mapInArrow(run, "key long, n int, tokens array<long>, parity binary")
 
