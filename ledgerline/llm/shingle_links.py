@@ -32,9 +32,9 @@ from .simhash import fingerprint, roots, shingle_hashes
 WORDS = 5
 SIMILAR = 0.8
 #: Cells of the table of counts; it sets the order of shingles, so costs, not results.  Counts move in pieces.
-CELLS, PIECE = 1 << 20, 1 << 16
-#: Bits of the sieves that drop what surely isn't asked for.
-SIEVE = 1 << 26
+CELLS, PIECE = 1 << 18, 1 << 12
+#: Bits of the sieves that drop what surely isn't asked for: so many per number, at least and at most so many in all; they move in pieces of bytes.
+SIEVE_RATE, SIEVE, SIEVE_PIECE = 16, (1 << 16, 1 << 26), 1 << 12
 #: Bits of the short parity that members of a bucket carry, and the largest parity of a text.
 SHORT, WIDE = 1024, 1 << 16
 #: A shingle is hot if it has more than one entry in so many; members that meet in one block; turns with one leader.
@@ -108,7 +108,7 @@ def fingerprinted(docs: DataFrame, ident: str, words: int, seed: int) -> tuple[D
     kind = source.schema["ident"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, idents = np.zeros(CELLS, dtype=np.int64), None
+        counts, idents = np.zeros(CELLS, dtype=np.uint32), None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -127,50 +127,54 @@ def fingerprinted(docs: DataFrame, ident: str, words: int, seed: int) -> tuple[D
                                              names=["ident", "key", "fp", "piece", "counts"])
 
     both = stored(source.mapInArrow(run, f"ident {kind}, key long, fp long, piece long, counts binary"), "shingle-counts")
-    counts = merged(both.filter("piece is not null").select("piece", "counts"), CELLS // PIECE, PIECE * 8, np.int64, np.add)
+    counts = merged(both.filter("piece is not null").select("piece", "counts"), CELLS // PIECE, PIECE, np.uint32, np.int64, np.add)
     marks = both.filter("piece is null").select(F.col("ident").alias(ident), F.col("key").alias("_key"), "fp")
     return marks, counts
 
 
-def merged(pieces: DataFrame, n: int, size: int, kind: type, add: np.ufunc) -> np.ndarray:
-    """Arrays that tasks have handed out in pieces (piece, bytes), added up; the driver gets ``n`` pieces of ``size`` bytes."""
+def merged(pieces: DataFrame, n: int, size: int, kind: type, wide: type, add: np.ufunc) -> np.ndarray:
+    """Arrays of ``kind`` that tasks have handed out in pieces (piece, bytes), added up as ``wide``; the driver gets ``n`` pieces of ``size`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for piece, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held = sums.setdefault(piece, np.zeros(size // np.dtype(kind).itemsize, dtype=kind))
-                add(held, np.frombuffer(data, dtype=kind), out=held)
+            for piece, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held = sums.setdefault(piece, np.zeros(size, dtype=wide))
+                add(held, np.frombuffer(data.as_buffer(), dtype=kind), out=held)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["piece", "data"])
 
-    out = np.zeros(n * size // np.dtype(kind).itemsize, dtype=kind).reshape(n, -1)
-    width = min(n, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    for row in pieces.repartition(width, pieces.columns[0]).mapInArrow(run, "piece long, data binary").collect():
-        out[row["piece"]] = np.frombuffer(row["data"], dtype=kind)
+    out = np.zeros((n, size), dtype=wide)
+    for row in pieces.repartition(pieces.columns[0]).mapInArrow(run, "piece long, data binary").collect():
+        out[row["piece"]] = np.frombuffer(row["data"], dtype=wide)
     return out.ravel()
 
 
 def sieve_of(df: DataFrame, column: str) -> np.ndarray:
-    """A bit per number modulo ``SIEVE``, packed: set where ``column`` (long) has such a number.  Its size is fixed."""
-    size = 1 << 16
+    """A packed bit per number modulo the sieve's size: set where ``column`` (long) has such a number.
+
+    The size follows the rows of ``df`` up to a fixed one, beyond which the sieve lets more through.
+    """
+    least, most = SIEVE
+    size = min(most, max(least, 1 << (SIEVE_RATE * df.count()).bit_length()))
+    piece = min(SIEVE_PIECE, size // 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = None
         for batch in batches:
-            packed = np.zeros(SIEVE // 8, dtype=np.uint8) if packed is None else packed
-            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(SIEVE)
+            packed = np.zeros(size // 8, dtype=np.uint8) if packed is None else packed
+            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(size)
             np.bitwise_or.at(packed, (at >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
         if packed is not None:
-            packed = packed.reshape(-1, size)
+            packed = packed.reshape(-1, piece)
             used = np.flatnonzero(packed.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([packed[i].tobytes() for i in used], pa.binary())], names=["piece", "data"])
 
-    return merged(df.select(column).mapInArrow(run, "piece long, data binary"), SIEVE // 8 // size, size, np.uint8, np.bitwise_or)
+    return merged(df.select(column).mapInArrow(run, "piece long, data binary"), size // 8 // piece, piece, np.uint8, np.uint8, np.bitwise_or)
 
 
 def held_by(sieve: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    at = numbers.view(np.uint64) % np.uint64(SIEVE)
+    at = numbers.view(np.uint64) % np.uint64(8 * len(sieve))
     return (sieve[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 

@@ -74,6 +74,18 @@ def test_parity_never_overstates():
         assert short <= found <= apart
 
 
+def test_sieve_holds_all_its_numbers(spark, monkeypatch):
+    pick = np.random.default_rng(7)
+    own = pick.integers(-(2**63), 2**63 - 1, 3000)
+    df = spark.createDataFrame([(int(x),) for x in own], "n long").repartition(5)
+    for limits in (L.SIEVE, (1 << 16, 1 << 16)):
+        monkeypatch.setattr(L, "SIEVE", limits)
+        sieve = L.sieve_of(df, "n")
+        others = pick.integers(-(2**63), 2**63 - 1, 3000)
+        assert L.held_by(sieve, own).all() and L.held_by(sieve, others).mean() < 0.1
+    assert not L.held_by(L.sieve_of(df.limit(0), "n"), own).any()
+
+
 def test_prefixes_of_near_sets_meet():
     pick = np.random.default_rng(3)
     counts = pick.integers(0, 5, L.CELLS)
@@ -113,7 +125,7 @@ def test_pairs_among_texts_that_share_a_passage(spark, monkeypatch, order):
     if order == "passage first":
         common = set(L.cell_of(L.shingle_set(passage.encode())).tolist())
         first = np.array([0 if i in common else 1 for i in range(L.CELLS)])
-        monkeypatch.setattr(L, "merged", lambda pieces, n, size, kind, add, real=L.merged: first if kind is np.int64 else real(pieces, n, size, kind, add))
+        monkeypatch.setattr(L, "merged", lambda *how, real=L.merged: first if how[3] is np.uint32 else real(*how))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in S.keep_one(df, similar=0.8).collect()) == kept_by_brute_force(rows)
 
