@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path, owned, stored
@@ -66,7 +67,14 @@ def member(data: bytes) -> bytes:
 def file_system(path: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    path = re.sub(r"^file:/(?!/)", "file:///", path)
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark resolves it: without a scheme it lies in the cluster's own file system, not on a task's disk."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 class Writer:
@@ -102,40 +110,69 @@ def classified(pages: DataFrame, least: int) -> DataFrame:
     """(page_id, url, payload, payload_bytes, sha1, record_type, refers_to): which records repeat an equal payload."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
-    # Of equal payloads the record with the largest (page_id, url) answers; counted before the shuffle, so any number of copies is fine.
-    rank = F.struct(F.col("page_id").alias("page_id"), F.col("url").alias("url"))
-    best = rows.groupBy("sha1").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    best = stored(best.select("sha1", "best"), "warc-responses")
+    # Of equal payloads those with the largest page_id answer; counted before the shuffle, so any number of copies is fine.
+    best = rows.groupBy("sha1").agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    best = stored(best.select("sha1", "best", F.lit(True).alias("shared")), "warc-responses")
     joined = rows.join(best, "sha1", "left")
-    answers = F.col("best").isNull() | rank.eqNullSafe(F.col("best")) | (F.col("payload_bytes") < least)
+    answers = F.col("shared").isNull() | F.col("page_id").eqNullSafe(F.col("best")) | (F.col("payload_bytes") < least)
     return joined.select(
         "page_id", "url", "payload", "payload_bytes", "sha1", F.when(answers, "response").otherwise("revisit").alias("record_type"),
-        F.when(~answers, F.col("best.page_id")).alias("refers_to"),
+        F.when(~answers, F.col("best")).alias("refers_to"),
     )
 
 
-def shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Adds ``shard``: ranges of page_id with about ``shard_bytes`` of payload each, in the order of page_id (null first).
+def cells(rows: DataFrame, shard_bytes: int) -> list[tuple[int, int, int]]:
+    """(shift, prefix, bytes) in the order of page_id: ids cut by their high bits until no cell but one id's is over the limit.
 
-    Ids are cut into at most RANGES equal ranges, whose exact byte counts give the cuts; a range far over the limit is
-    split further by a hash of the record.  Only these counts (at most RANGES rows) reach the driver.
+    A cell over the limit is cut into about eight times as many as it needs, so the cells that reach the driver are a
+    small multiple of the shards.  Shifting needs no difference of ids, so ids at both ends of the range are fine.
     """
     ends = rows.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
-    low, width = ends["low"] or 0, max(1, -(-((ends["high"] or 0) - (ends["low"] or 0) + 1) // RANGES))
-    narrow = F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.expr(f"cast((page_id - {low}) div {width} as bigint)"))
-    counts = sorted((r["narrow"], r["bytes"]) for r in rows.groupBy(narrow.alias("narrow")).agg(F.sum(F.col("payload_bytes") + 512).alias("bytes")).collect())
-    cuts, shard, held = [], -1, shard_bytes
-    for at, size in counts:
+    if ends["low"] is None:
+        return []
+    shift = 0
+    while (ends["high"] >> shift) - (ends["low"] >> shift) >= RANGES:
+        shift += 1
+    weight = F.sum(F.col("payload_bytes") + 512).alias("bytes")
+    near, out = rows.filter("page_id is not null").select("page_id", "payload_bytes"), []
+    while True:
+        found = near.groupBy(F.shiftright("page_id", shift).alias("prefix")).agg(weight).collect()
+        large = [r for r in found if shift and r["bytes"] > shard_bytes]
+        out += [(shift, r["prefix"], r["bytes"]) for r in found if not shift or r["bytes"] <= shard_bytes]
+        if not large:
+            return sorted(out, key=lambda c: c[1] << c[0])
+        asked = rows.sparkSession.createDataFrame([(r["prefix"],) for r in large], "prefix long")
+        near = near.withColumn("prefix", F.shiftright("page_id", shift)).join(F.broadcast(asked), "prefix", "left_semi").drop("prefix")
+        need = max(-(-r["bytes"] // shard_bytes) for r in large)
+        shift = max(0, shift - min(12, 3 + need.bit_length()))
+
+
+def shards(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``shard``, and how many shards there are: ranges of page_id (null first) with about ``shard_bytes`` of payload.
+
+    Only rows of one single id beyond the limit, or without one, are split by a hash of the record.
+    """
+    nulls = rows.filter("page_id is null").agg(F.sum(F.col("payload_bytes") + 512).alias("bytes")).first()["bytes"] or 0
+    levels: dict[int, list[tuple[int, int, int]]] = {}
+    parts = max(1, -(-nulls // shard_bytes))
+    # The rows without an id have the first shards to themselves.
+    shard, held = parts - 1 if nulls else -1, shard_bytes
+    for shift, prefix, size in cells(rows, shard_bytes):
         if held + size > shard_bytes:
             shard, held = shard + 1, 0
-        parts = max(1, -(-size // shard_bytes))
-        cuts.append((at, shard, parts))
+        wide = max(1, -(-size // shard_bytes))
+        levels.setdefault(shift, []).append((prefix, shard, wide))
         held += size
-        if parts > 1:
-            shard, held = shard + parts - 1, shard_bytes
-    table = F.broadcast(rows.sparkSession.createDataFrame(cuts, "narrow long, first long, parts long"))
-    inside = F.pmod(F.xxhash64("page_id", "url", "sha1"), F.col("parts"))
-    return rows.withColumn("narrow", narrow).join(table, "narrow").withColumn("shard", F.col("first") + inside).drop("narrow", "first", "parts")
+        if wide > 1:
+            shard, held = shard + wide - 1, shard_bytes
+    out = rows.withColumn("first", F.when(F.col("page_id").isNull(), F.lit(0).cast("long"))).withColumn("wide", F.when(F.col("page_id").isNull(), F.lit(parts).cast("long")))
+    for shift, table in levels.items():
+        # About as many rows as shards.
+        some = F.broadcast(rows.sparkSession.createDataFrame(table, "prefix long, at long, split long"))
+        out = out.withColumn("prefix", F.shiftright("page_id", shift)).join(some, "prefix", "left")
+        out = out.withColumn("first", F.coalesce("first", "at")).withColumn("wide", F.coalesce("wide", "split")).drop("prefix", "at", "split")
+    inside = F.pmod(F.xxhash64("page_id", "url", "sha1"), F.col("wide"))
+    return out.withColumn("shard", F.col("first") + inside).drop("first", "wide"), shard + 1
 
 
 def write_archive(
@@ -143,15 +180,15 @@ def write_archive(
 ) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) as WARC files below ``folder``; returns the committed manifest.
 
-    A record repeats another if their payloads are equal and have at least ``least`` bytes: the one with the largest page_id
-    (then url) is the response, the others revisit it without a payload.  Rows equal in every column are all responses if they
-    are the largest.  Null and empty html have an empty payload; a null page_id sorts first and never beats another.
+    A record repeats another if their payloads are equal and have at least ``least`` bytes: those with the largest page_id
+    are responses, all of them where several have it, and the others revisit it without a payload.  Null and empty html have an empty payload; a null page_id sorts first and never beats another.
     An empty table gives an empty manifest; other columns are ignored.
     """
-    rows = shards(classified(pages, least), shard_bytes)
+    folder = qualified(pages.sparkSession, folder)
+    rows, count = shards(classified(pages, least), shard_bytes)
     fields = [F.when(F.col("record_type") == "response", F.col("payload")).alias("payload")]
     sorted_rows = rows.select("shard", "page_id", "url", "record_type", "refers_to", "payload_bytes", "sha1", *fields)
-    sorted_rows = sorted_rows.repartition("shard").sortWithinPartitions("shard", "page_id", "url", "sha1", "record_type")
+    sorted_rows = sorted_rows.repartition(max(1, count), "shard").sortWithinPartitions("shard", "page_id", "url", "sha1", "record_type")
     system, place = file_system(folder)
     system.create_dir(place, recursive=True)
 
@@ -217,6 +254,7 @@ def parsed(data: bytes) -> dict:
 
 def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
     """The RECORD rows of every file in the manifest; each file is checked against its size and digest."""
+    folder = qualified(manifest.sparkSession, folder)
     names = [f.split()[0] for f in RECORD.split(", ")]
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [(f.split()[0], kinds[f.split()[1]]) for f in RECORD.split(", ")]

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from ledgerline.llm import chat_format as C
+from ledgerline.llm import mixing as M
 from ledgerline.llm import warc as W
 
 
@@ -77,15 +78,14 @@ def test_archive_round_trip(spark, tmp_path, least):
     manifest = W.write_archive(df, folder, least=least, file_bytes=5_000, shard_bytes=20_000)
     assert manifest.count() > 5
     best = {}
-    rank = lambda i, u: (i is not None, i or 0, u is not None, u or "")
-    for i, u, h in rows:
+    for i, _, h in rows:
         key = h or ""
-        best[key] = max(best.get(key, (i, u)), (i, u), key=lambda x: rank(*x))
+        best[key] = max(best.get(key, i), i, key=lambda x: (x is not None, x or 0))
     want = []
     for i, u, h in rows:
         raw = (h or "").encode()
-        answers = (i, u) == best[h or ""] or len(raw) < least
-        want.append((i, len(raw), W.base32_sha1(raw), "response" if answers else "revisit", None if answers else best[h or ""][0]))
+        answers = i == best[h or ""] or len(raw) < least
+        want.append((i, len(raw), W.base32_sha1(raw), "response" if answers else "revisit", None if answers else best[h or ""]))
     back = W.read_archive(manifest, folder).collect()
     got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back]
     assert sorted(map(str, got)) == sorted(map(str, want))
@@ -93,6 +93,25 @@ def test_archive_round_trip(spark, tmp_path, least):
     assert {bytes(r.payload) for r in back if r.record_type == "response"} == payloads
 
 
+def test_shards_are_ranges_of_ids(spark, tmp_path):
+    """One id far away, ids at both ends of the range, one id repeated beyond a shard, and none."""
+    rows = [(i, f"u{i}", f"<p>{i}</p>" * 30) for i in range(2000)] + [(10**12, "far", "far"), (2**63 - 1, "top", "top"), (-(2**63), "low", "low")]
+    rows += [(777, f"again{k}", f"again {k} " * 50) for k in range(200)] + [(None, f"none{k}", f"none {k} " * 50) for k in range(100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = W.write_archive(df, str(tmp_path / "r"), file_bytes=1 << 20, shard_bytes=30_000)
+    spans = {}
+    for m in manifest.collect():
+        found = W.read_archive(manifest.filter(M.F.col("file") == m["file"]), str(tmp_path / "r")).collect()
+        ids = [(r.page_id is not None, r.page_id or 0) for r in found]
+        assert ids == sorted(ids)
+        spans.setdefault(m["shard"], []).extend(ids)
+    order = [spans[k] for k in sorted(spans)]
+    assert sum(map(len, order)) == len(rows) and len(order) > 30
+    for a, b in zip(order, order[1:]):
+        assert max(a) <= min(b)
+    assert all(max(a) < min(b) or min(b) == max(a) in ((False, 0), (True, 777)) for a, b in zip(order, order[1:]))
+
+
 def test_same_bytes_whatever_the_partitions(spark, tmp_path):
     df = spark.createDataFrame(pages(), "page_id long, url string, html string")
     seen = []
