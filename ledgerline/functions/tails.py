@@ -50,6 +50,45 @@ def normal_cdf(z: Column) -> Column:
     return 0.5 * erfc(-z / math.sqrt(2.0))
 
 
+# Coefficients of a published rational approximation of the normal quantile (relative error below 1.2e-9),
+# numerator and denominator in the middle, then in the tails, highest power first.
+MIDDLE_TOP = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+MIDDLE_BOTTOM = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01, 1.0]
+TAIL_TOP = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+TAIL_BOTTOM = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0]
+TAIL = 0.02425
+
+
+def normal_quantile(p: Column) -> Column:
+    """Inverse of the normal distribution function as an expression; NULL outside (0, 1)."""
+    def powers(x: Column, weights: list[float]) -> Column:
+        out = F.lit(weights[0])
+        for w in weights[1:]:
+            out = out * x + F.lit(w)
+        return out
+
+    side = F.least(p, 1 - p)
+    q, r = p - 0.5, (p - 0.5) * (p - 0.5)
+    t = F.sqrt(-2 * F.log(side))
+    tail = powers(t, TAIL_TOP) / powers(t, TAIL_BOTTOM)
+    middle = q * powers(r, MIDDLE_TOP) / powers(r, MIDDLE_BOTTOM)
+    return F.when((p <= 0) | (p >= 1), F.lit(None)).when(side >= TAIL, middle).when(p < 0.5, tail).otherwise(-tail)
+
+
+def normal_quantile_sql(p: str) -> str:
+    def powers(x: str, weights: list[float]) -> str:
+        out = f"{weights[0]!r}::DOUBLE"
+        for w in weights[1:]:
+            out = f"({out}*{x}+({w!r}::DOUBLE))"
+        return out
+
+    side, q = f"least({p},1-{p})", f"({p}-0.5)"
+    r, t = f"({q}*{q})", f"sqrt(-2*ln({side}))"
+    tail = f"({powers(t, TAIL_TOP)}/{powers(t, TAIL_BOTTOM)})"
+    middle = f"({q}*{powers(r, MIDDLE_TOP)}/{powers(r, MIDDLE_BOTTOM)})"
+    return f"CASE WHEN {p}<=0 OR {p}>=1 THEN NULL WHEN {side}>={TAIL} THEN {middle} WHEN {p}<0.5 THEN {tail} ELSE -{tail} END"
+
+
 def chi2_sf(x: Column, df: int) -> Column:
     """P(X > x) for a whole number of degrees of freedom, by the finite sum."""
     half = x / 2.0

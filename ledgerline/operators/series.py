@@ -8,15 +8,13 @@ aggregated to that grain first.
 from __future__ import annotations
 
 import math
-import statistics
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.tails import chi2_sf
+from ..functions.tails import chi2_sf, normal_quantile
 from .ordered import exact_quantiles, with_quantiles
 
 
@@ -174,12 +172,6 @@ def extremes(df: DataFrame, value: str, ties: list[str], n: int = 8) -> DataFram
     return small.unionByName(large)
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    inv = statistics.NormalDist().inv_cdf
-    return pd.Series([inv(v) if v is not None and 0 < v < 1 else float("nan") for v in p], dtype=float)
-
-
 def qq_points(df: DataFrame, series: str, value: str) -> DataFrame:
     """Ordered values against the normal quantiles of their expected ranks (Filliben's medians)."""
     rows = df.filter(F.col(value).isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import decade
 from ..functions.numbers import fourier_columns, right_closed_bin
-from ..functions.tails import chi2_sf_sql
+from ..functions.tails import chi2_sf_sql, normal_quantile_sql
 from ..operators import mart as M
 from ..operators import series as S
 from ..sources.feeds import daily_values, monthly_prices
@@ -163,9 +163,12 @@ def histogram(t):
     return h.select("bin", F.round("low", 4).alias("low"), "rows", F.round("density", 12).alias("density"))
 
 
-@query("qq_points")
+@query("qq_points", f"""WITH {SERIES}, r AS (SELECT series_id, log_ret AS sample, row_number() OVER (PARTITION BY series_id ORDER BY log_ret) AS i, count(*) OVER (PARTITION BY series_id) AS n FROM m WHERE log_ret IS NOT NULL),
+q AS (SELECT series_id, i, sample, CASE WHEN i = n THEN power(0.5, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - power(0.5, 1.0::DOUBLE / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM r)
+SELECT series_id, CAST(i AS INTEGER) AS i, round({normal_quantile_sql("p")}, 6) AS theoretical, round(sample, 8) AS sample FROM q""")
 def qq_points(t):
-    return S.qq_points(month_table(t), "series_id", "log_ret")
+    points = S.qq_points(month_table(t), "series_id", "log_ret")
+    return points.select("series_id", "i", F.round("theoretical", 6).alias("theoretical"), F.round("sample", 8).alias("sample"))
 
 
 @query("extremes", """(SELECT o_orderkey, o_totalprice, 'smallest' AS side FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 8)

@@ -60,3 +60,15 @@ def test_t_tail():
     assert T.t_two_sided(0.0, 5.5) == 1.0
     assert T.t_two_sided(1.959964, 1e7) == pytest.approx(0.05, abs=1e-5)
     assert math.isnan(T.t_two_sided(float("nan"), 3))
+
+
+def test_normal_quantile(spark):
+    import statistics
+
+    from ledgerline.functions.tails import normal_quantile
+
+    shares = [1e-12, 1e-5, 0.01, 0.02424, 0.02426, 0.3, 0.5, 0.7, 0.97574, 0.97576, 0.999, 1 - 1e-9, 0.0, 1.0]
+    got = [r.z for r in spark.createDataFrame([(p,) for p in shares], "p double").select(normal_quantile(F.col("p")).alias("z")).collect()]
+    assert got[-2:] == [None, None]
+    for p, z in zip(shares[:-2], got):
+        assert abs(z - statistics.NormalDist().inv_cdf(p)) < 2e-8 * max(1, abs(z))
