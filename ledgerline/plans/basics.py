@@ -14,10 +14,11 @@ from ..operators import ledger as L
 from ..operators import profile as P
 from ..operators.joins import lookup_join
 from ..operators.series import guarded_corr
-from ..session import fresh_path
+from ..session import fresh_path, materialised
 from ..sources import files, lineage
 from ..sources.feeds import FEED_COLUMNS, messy_feed, product_master, site_master
 from .feed_sql import CLEAN, FEED, LEDGER
+from .pipelines import PROFILED
 from .quality import annotated
 from .registry import query
 
@@ -120,16 +121,20 @@ def frame_fingerprint(t):
 
 @query("audit_export")
 def audit_export(t):
-    rows = annotated(t)
-    products = product_master(t)
-    clean = C.clean_fact(rows, products)
+    # One feed for all nine tables, and the fact once for the two that test it.
+    rows, products = materialised(annotated(t)), product_master(t)
+    clean = materialised(C.clean_fact(rows, products))
+    priced = lookup_join(rows.select("ndc", "_price"), products.select("ndc", "therapeutic_class"), "ndc")
     tables = {
-        "column_profile": ("Column profile", P.column_profile(rows, ["claim_id", "ndc", "pharmacy_id", "days_supply"])),
-        "format_census": ("Date formats", P.format_census(rows, "date_filled", [(n, s) for n, s, _ in D.DATE_FORMATS])),
-        "value_census": ("State values", P.value_census(rows, "state_raw")),
+        "column_profile": ("Column profile", P.column_profile(rows, PROFILED)),
+        "format_census": ("Date formats", P.format_census(rows, "date_filled", list(D.CENSUS_SHAPES))),
+        "state_census": ("State values", P.value_census(rows, "state_raw")),
+        "gender_census": ("Gender values", P.value_census(rows, "patient_gender")),
+        "price_profile": ("Price by class", P.quantile_profile(priced, "therapeutic_class", "_price")),
+        "surplus_same_id": ("Surplus rows, same id", P.surplus_on_key(rows, ["claim_id"])),
         "rule_summary": ("Rules", L.rule_summary(L.build_ledger(rows))),
-        "acceptance_tests": ("Acceptance tests", G.acceptance_tests(clean, site_master(t))),
         "reconciliation": ("Reconciliation", C.reconciliation(rows, clean, L.quarantine(rows, FEED_COLUMNS), products)),
+        "acceptance_tests": ("Acceptance tests", G.acceptance_tests(clean, site_master(t))),
     }
     path = fresh_path(t.spark, "audit")
     lineage.audit_export(tables).write.json(path)
