@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialised
 from .ordered import hash_rank, running_totals
+from .svm import fit_squared_hinge
 from .textmine import vector_entries
 
 # ---------------------------------------------------------------- splits
@@ -127,13 +128,24 @@ def grouped_ranking(scored: DataFrame, by: list[str], label: str = "label", scor
     return table.groupBy(*by).agg(F.try_divide(F.sum(better), p * n).alias("roc_auc"), F.try_divide(F.sum(gain), p).alias("pr_auc"))
 
 
-def compare_models(scored: DataFrame, label: str = "label") -> DataFrame:
-    """Mean and spread over folds per model, best ROC-AUC first."""
+def compare_models(scored: DataFrame, label: str = "label", by: str = "roc_auc") -> DataFrame:
+    """Mean and spread over folds per model, best first by ``roc_auc`` or ``pr_auc``."""
     per_fold = grouped_ranking(scored, ["model", "fold"], label)
     return per_fold.groupBy("model").agg(
         F.avg("roc_auc").alias("roc_auc"), F.stddev_pop("roc_auc").alias("roc_auc_std"),
         F.avg("pr_auc").alias("pr_auc"), F.stddev_pop("pr_auc").alias("pr_auc_std"),
-    ).orderBy(F.col("roc_auc").desc(), "model")
+    ).orderBy(F.col(by).desc(), "model")
+
+
+def champion_of(comparison: DataFrame) -> str:
+    """Name of the first model of a comparison, which has one row per model."""
+    return comparison.first()["model"]
+
+
+def held_out_metrics(scored: DataFrame, name: str, label: str = "label") -> DataFrame:
+    """One row ``model, rows, positives, roc_auc, pr_auc`` of scores on rows that no fit or choice has seen."""
+    sizes = scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("positives"))
+    return sizes.select(F.lit(name).alias("model"), "*").join(F.broadcast(grouped_ranking(scored.withColumn("_all", F.lit(0)), ["_all"], label).drop("_all")))
 
 
 # ---------------------------------------------------------------- importance
@@ -230,6 +242,13 @@ def fit_text_svm(train: DataFrame, terms: str, label: str = "label", c_value: fl
     return PipelineModel(stages=features.stages + [svm])
 
 
+def fit_text_svm_squared(train: DataFrame, terms: str, label: str = "label", c_value: float = 1.0, min_df: int = 2) -> PipelineModel:
+    """Linear SVM with the squared hinge loss, see ``svm.py``."""
+    features = fit_text_features(train, terms, min_df)
+    width = len(features.stages[0].vocabulary)
+    return PipelineModel(stages=features.stages + [fit_squared_hinge(features.transform(train), width, label, c_value=c_value)])
+
+
 def platt_calibrated(train: DataFrame, test: DataFrame, fit: Fit, ident: str, label: str = "label", k: int = 3, seed: int = 42) -> DataFrame:
     """Averaged calibrated probabilities: each fold's model is calibrated on the rows it did not see."""
     folded = stratified_folds(train, ident, label, k, seed).persist()

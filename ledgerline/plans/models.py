@@ -108,6 +108,34 @@ def churn_economics(t):
     return table.select(F.lit(float(best)).alias("threshold"), "*", (c("tp") * 240.0 - (c("tp") + c("fp")) * 50.0).alias("profit"))
 
 
+@query("churn_champion")
+def churn_champion(t):
+    """The whole job as a report ``section, title, row_json``: families compared under cross-validation, the threshold taken
+    from the winner's out-of-fold scores, the winner refitted on the training part and the test part scored once.
+    """
+    rows = split(t)
+    train, test = rows.filter("not is_test").drop("is_test"), rows.filter("is_test").drop("is_test")
+    folded = materialised(L.stratified_folds(train, "id", "label", FOLDS))
+    unseen = L.cross_validate(folded, MODELS, ["label"], FOLDS)
+    comparison = materialised(L.compare_models(unseen))
+    name = L.champion_of(comparison)
+    sweep = M.profit_sweep(unseen.filter(c("model") == name))
+    threshold = float(M.best_threshold(sweep).first()["threshold"])
+    model = MODELS[name](train)
+    scored = materialised(L.probability(model.transform(test)).select("id", "label", "score"))
+    profit = (c("tp") * 240.0 - (c("tp") + c("fp")) * 50.0).alias("profit")
+    at = [M.confusion(scored, x).select(F.lit(x).alias("threshold"), "*", profit) for x in (threshold, 0.5)]
+    importance = L.permutation_importance(model, test, "id", "label", S.CHURN_NUMERIC + S.CHURN_CATEGORICAL, repeats=15)
+    return lineage.audit_export({
+        "comparison": ("Families under cross-validation", comparison),
+        "test": ("Winner on the test part", L.held_out_metrics(scored, name)),
+        "sweep": ("Profit by threshold on validation folds", sweep),
+        "decision": ("Confusion on the test part at the chosen and the usual threshold", at[0].unionByName(at[1])),
+        "calibration": ("Calibration on the test part", M.calibration_bins(scored)),
+        "importance": ("Loss of ROC-AUC on the test part when a column is shuffled", importance),
+    })
+
+
 @query("perm_importance")
 def perm_importance(t):
     rows = split(t)
