@@ -16,10 +16,11 @@ from ..operators.joins import lookup_join
 from ..operators.series import guarded_corr
 from ..session import fresh_path, materialised
 from ..sources import files, lineage
+from ..sources.blocks import read_quoted_csv
 from ..sources.feeds import FEED_COLUMNS, messy_feed, product_master, site_master
 from .feed_sql import CLEAN, FEED, LEDGER
 from .pipelines import PROFILED
-from .quality import annotated
+from .quality import annotated, annotated_once
 from .registry import query
 
 c = F.col
@@ -46,7 +47,7 @@ ORDER_TEXT_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_cus
 @query("scan_text", ORDER_TEXT_SQL)
 def scan_text(t):
     path = files.write_csv(order_text(t), fresh_path(t.spark, "orders-text"))
-    return files.read_text_csv(t.spark, path, ORDER_TEXT)
+    return read_quoted_csv(t.spark, path, ORDER_TEXT)
 
 
 @query("scan_typed_csv", """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS o_totalprice,
@@ -75,7 +76,7 @@ def scan_tsv(t):
 SELECT * REPLACE (CAST(date_written AS VARCHAR) AS date_written, CAST(date_filled AS VARCHAR) AS date_filled) FROM clean""")
 def sink_parquet(t):
     """Clean fact written as Parquet, partitioned by state, and read back."""
-    fact = C.clean_fact(annotated(t), product_master(t))
+    fact = C.clean_fact(annotated_once(t), product_master(t))
     path = files.write_parquet(fact, fresh_path(t.spark, "clean-fact"), ["state"])
     return t.spark.read.schema(fact.schema).parquet(path)
 
@@ -83,9 +84,9 @@ def sink_parquet(t):
 @query("sink_csv", f"WITH {LEDGER} SELECT * FROM held")
 def sink_csv(t):
     """Quarantine written as CSV and read back; blanks and NULLs stay apart."""
-    held = L.quarantine(annotated(t), FEED_COLUMNS)
+    held = L.quarantine(annotated_once(t), FEED_COLUMNS)
     path = files.write_csv(held, fresh_path(t.spark, "quarantine"))
-    return files.read_text_csv(t.spark, path, held.columns)
+    return read_quoted_csv(t.spark, path, held.columns)
 
 
 @query("source_registry", " UNION ALL ".join(

@@ -9,7 +9,7 @@ from ..operators import clean as C
 from ..operators import gates as G
 from ..operators import ledger as L
 from ..operators import profile as P
-from ..session import materialised
+from ..session import materialised, stored
 from ..sources.feeds import messy_feed, product_master, site_master, FEED_COLUMNS
 from .feed_sql import CLEAN, FEED, LEDGER
 from .registry import query
@@ -22,6 +22,11 @@ def annotated(t):
     return L.annotate(messy_feed(t), product_master(t), site_master(t))
 
 
+def annotated_once(t):
+    """The annotated feed as a written table, for queries that read it more than once: the feed is built a single time."""
+    return stored(annotated(t), "annotated-feed")
+
+
 def _profile_sql(source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) AS total_rows,
@@ -107,7 +112,7 @@ def grain_duplicates(t):
 
 @query("rule_ledger", f"WITH {LEDGER} SELECT * FROM ledger")
 def rule_ledger(t):
-    return L.build_ledger(annotated(t))
+    return L.build_ledger(annotated_once(t))
 
 
 @query("copied_rows", f"WITH {FEED} SELECT claim_id, count(*) AS n FROM feed GROUP BY ALL HAVING count(*) > 1"
@@ -120,7 +125,7 @@ def copied_rows(t):
 SELECT rule_id, any_value(rule_desc) AS rule_desc, any_value(severity) AS severity, count(*) AS violations,
        count(DISTINCT claim_id) AS distinct_claims FROM ledger GROUP BY rule_id""")
 def rule_summary(t):
-    return L.rule_summary(L.build_ledger(annotated(t)))
+    return L.rule_summary(L.build_ledger(annotated_once(t)))
 
 
 @query("reason_rollup", f"WITH {LEDGER} SELECT * FROM rejected")
@@ -130,13 +135,13 @@ def reason_rollup(t):
 
 @query("quarantine", f"WITH {LEDGER} SELECT * FROM held")
 def quarantine(t):
-    return L.quarantine(annotated(t), FEED_COLUMNS)
+    return L.quarantine(annotated_once(t), FEED_COLUMNS)
 
 
 @query("clean_fact", f"""WITH {CLEAN}
 SELECT * REPLACE (CAST(date_written AS VARCHAR) AS date_written, CAST(date_filled AS VARCHAR) AS date_filled) FROM clean""")
 def clean_fact(t):
-    return C.clean_fact(annotated(t), product_master(t))
+    return C.clean_fact(annotated_once(t), product_master(t))
 
 
 @query("acceptance_tests", rf"""WITH {CLEAN}
@@ -150,8 +155,8 @@ UNION ALL SELECT 'gender is M, F or U', count(*) FILTER (WHERE patient_gender NO
 UNION ALL SELECT 'total is quantity times price', count(*) FILTER (WHERE abs(total_paid - quantity_dispensed * unit_price) > 0.01) FROM clean
 UNION ALL SELECT 'every site in site master', (SELECT count(*) FROM clean ANTI JOIN sites USING (pharmacy_id))""")
 def acceptance_tests(t):
-    rows = annotated(t)
-    return G.acceptance_tests(C.clean_fact(rows, product_master(t)), site_master(t))
+    fact = stored(C.clean_fact(annotated_once(t), product_master(t)), "clean-fact")
+    return G.acceptance_tests(fact, site_master(t))
 
 
 @query("reconciliation", f"""WITH {CLEAN},
@@ -162,6 +167,5 @@ counts AS (SELECT (SELECT count(*) FROM feed) AS raw_rows, (SELECT count(*) FROM
 SELECT *, exact_copies + resubmissions AS rows_removed_as_duplicates,
   raw_rows - clean_rows - quarantined_rows - exact_copies - resubmissions AS unexplained_rows FROM counts""")
 def reconciliation(t):
-    rows = annotated(t)
-    products = product_master(t)
+    rows, products = annotated_once(t), product_master(t)
     return C.reconciliation(rows, C.clean_fact(rows, products), L.quarantine(rows, FEED_COLUMNS), products)
