@@ -168,4 +168,6 @@ SELECT *, exact_copies + resubmissions AS rows_removed_as_duplicates,
   raw_rows - clean_rows - quarantined_rows - exact_copies - resubmissions AS unexplained_rows FROM counts""")
 def reconciliation(t):
     rows, products = annotated_once(t), product_master(t)
-    return C.reconciliation(rows, C.clean_fact(rows, products), L.quarantine(rows, FEED_COLUMNS), products)
+    counted = stored(C.counted_survivors(rows), "survivors")
+    held = L.quarantine(rows, FEED_COLUMNS)
+    return C.reconciliation(rows, C.clean_fact(rows, products, counted=counted), held, products, counted=counted)
