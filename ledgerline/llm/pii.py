@@ -89,12 +89,16 @@ TRIGGER = re.compile(r"[0-9@＠]|[\[({<]\s*at\s*[\])}>]|(?<=[^\W_])\s+at\s+(?=[^
 LONGEST, MARGIN = 24, 12
 AT = re.compile(r"\s*(?:@|＠|[\[({<]\s*at\s*[\])}>]|\s+at\s+)\s*", re.IGNORECASE)
 DOT = re.compile(r"\s*(?:[\[({<]\s*dot\s*[\])}>]|\s+dot\s+)\s*", re.IGNORECASE)
+BARE_AT = re.compile(r"\s+at\s+", re.IGNORECASE)
 HOST = re.compile(r"[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,}", re.IGNORECASE)
 SHAPES = [
     "bias", "mail_shape", "mail_disguised", "dirty_ends", "four_parts", "octets", "disguised_parts", "digits_7", "digits_8_15", "digits_16_19",
     "luhn", "plus", "grouped", "card_groups", "brackets", "other_letters", "glued", "one_run", "long_part", "phone_cue", "card_cue", "ip_cue", "odd_separator",
-    "doubled_separator", "mail_goes_on", "number_goes_on",
+    "doubled_separator", "mail_goes_on", "number_goes_on", "bare_at", "local_dots",
 ]
+#: Endings after which a bare "at" with plain dots is taken for an address more readily than for a sentence's end.
+COMMON_ENDINGS = frozenset("com org net edu gov io co info eu de fr es uk us it nl ch at be pl se jp cn in br ca au example".split())
+NUMBER_SIGNS = frozenset("0123456789+().-/·_ [{]}")
 MAIL_ON = re.compile(r"(?:\.|\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+)[a-z0-9]{2,}", re.IGNORECASE)
 NUMBER_ON, NUMBER_FROM = re.compile(r"[ .()/-]{0,2}[0-9]"), re.compile(r"[0-9+][ .()/-]{0,2}$")
 CUES = {
@@ -112,7 +116,9 @@ def segment_features(text: str, start: int, end: int) -> np.ndarray:
     letters = sum(c.isalpha() for c in s)
     at_split = AT.split(s, maxsplit=1)
     host = DOT.sub(".", at_split[1]) if len(at_split) == 2 else ""
-    mail = len(at_split) == 2 and LOCAL.fullmatch(at_split[0].strip()) is not None and HOST.fullmatch(host) is not None
+    local = DOT.sub(".", at_split[0]).strip()
+    mail = len(at_split) == 2 and LOCAL.fullmatch(local) is not None and HOST.fullmatch(host) is not None
+    bare = mail and host == at_split[1] and BARE_AT.search(s) is not None
     undotted = re.sub(r"\s*(?:[\[({<]\s*(?:dot|\.)\s*[\])}>]|\s+dot\s+)\s*", ".", s, flags=re.IGNORECASE)
     four = re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", undotted) is not None
     n = len(digits)
@@ -140,11 +146,66 @@ def segment_features(text: str, start: int, end: int) -> np.ndarray:
         "doubled_separator": number and re.search(r"[^0-9()]{2,}", s.replace(") ", ")").replace(" (", "(")) is not None,
         "mail_goes_on": mail and MAIL_ON.match(text, end) is not None,
         "number_goes_on": number and (NUMBER_ON.match(text, end) is not None or NUMBER_FROM.search(text[max(0, start - 4) : start]) is not None),
+        "bare_at": bare and host.rsplit(".", 1)[-1] not in COMMON_ENDINGS,
+        "local_dots": mail and local != at_split[0].strip(),
         **{k: bool(cue.search(prior)) for k, cue in CUES.items()},
     }
     return np.array([float(f[k]) for k in SHAPES])
 
 
+PLACE = {k: i for i, k in enumerate(SHAPES)}
+NOT_OF_NUMBERS = re.compile(r"[^0-9+(). /-]")
+BRACKETED = re.compile(r"\([0-9]{2,4}\)")
+DOUBLED = re.compile(r"[^0-9()]{2,}")
+PLAIN_FOUR = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+MARKED_DOT = re.compile(r"[\[({<]\s*\.\s*[\])}>]")
+RUN = re.compile(r"[0-9]+")
+
+
+def number_features(text: str, start: int, end: int, cues: list[bool], from_number: bool) -> np.ndarray | None:
+    """``segment_features`` of a segment of digits and their signs; what only depends on its start is given.
+
+    None where the segment has other letters or bracketed dots, which the general way deals with.
+    """
+    s = text[start:end]
+    if not NUMBER_SIGNS.issuperset(s) or MARKED_DOT.search(s):
+        return None
+    out = np.zeros(len(SHAPES))
+    runs = RUN.findall(s)
+    n, last = sum(map(len, runs)), len(runs) - 1
+    four = len(runs) == 4 and PLAIN_FOUR.fullmatch(s) is not None
+    before, after = text[start - 1 : start], text[end : end + 1]
+    out[PLACE["bias"]] = 1.0
+    out[PLACE["dirty_ends"]] = not (s[0].isalnum() or s[0] in "+(") or not s[-1].isalnum()
+    if four:
+        out[PLACE["four_parts"]], out[PLACE["octets"]] = 1.0, octets(s)
+    if n < 8:
+        out[PLACE["digits_7"]] = 1.0
+    elif n <= 15:
+        out[PLACE["digits_8_15"]] = 1.0
+    elif 16 <= n <= 19:
+        out[PLACE["digits_16_19"]], out[PLACE["luhn"]] = 1.0, luhn("".join(runs))
+    out[PLACE["plus"]] = s[0] == "+" or (s[:2] == "00" and last > 0)
+    out[PLACE["grouped"]] = 2 <= last <= 4 and all(2 <= len(r) <= 4 for r in runs[1:]) and len(runs[-1]) >= 3
+    out[PLACE["card_groups"]] = last >= 3 and all(len(r) == 4 for r in runs[:-1])
+    out[PLACE["brackets"]] = "(" in s and BRACKETED.search(s) is not None
+    out[PLACE["glued"]] = bool(before.isalnum() or after.isalnum() or before and before in "._-/@#$%€£=" or after and after in "/@_%$€£")
+    out[PLACE["one_run"]] = last == 0
+    out[PLACE["long_part"]] = last > 0 and any(len(r) > 4 for r in runs)
+    out[PLACE["odd_separator"]] = NOT_OF_NUMBERS.search(s) is not None
+    out[PLACE["doubled_separator"]] = DOUBLED.search(s.replace(") ", ")").replace(" (", "(")) is not None
+    out[PLACE["number_goes_on"]] = from_number or NUMBER_ON.match(text, end) is not None
+    for k, hit in zip(CUES, cues):
+        out[PLACE[k]] = hit
+    return out
+
+
+def start_facts(text: str, start: int) -> tuple[list[bool], bool]:
+    """What the text before a number says, the same for every end."""
+    prior = text[max(0, start - 40) : start]
+    return [bool(cue.search(prior)) for cue in CUES.values()], NUMBER_FROM.search(text[max(0, start - 4) : start]) is not None
+
+
 def stretches(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Parts of the text, between the spans already taken, in which a segment may be: around each trigger."""
     edges, out = [0], []
@@ -182,16 +243,18 @@ def candidates(text: str, start: int, end: int) -> tuple[list[tuple[int, int]],
         starts_number = (digit[i] and p.isdigit()) or (p in "+(" and i + 1 < len(pieces) and digit[i + 1])
         starts_mail = p[0].isalnum() and any(at_word[i + 1 : i + 8]) and (i == 0 or pieces[i - 1] not in (".", "_", "-", "+", "%"))
         if starts_number:
-            # A number: digits and their separators only, ending in digits.
-            n = 0
+            # A number: digits and their separators only, ending in digits.  No kind has more than 19 digits, and with
+            # fewer than 7 only addresses of four parts are left.
+            n, dots = 0, 0
             for j in range(i, min(i + LONGEST, len(pieces))):
                 q = pieces[j]
                 if not (q.isdigit() or len(q) == 1 and q in "+().-/·_ [{]}" or q.lower() == "dot"):
                     break
                 n += len(q) if q.isdigit() else 0
-                if n > 24:
+                dots += q == "." or q.lower() == "dot"
+                if n > 19:
                     break
-                if q.isdigit() and n >= 4:
+                if q.isdigit() and (n >= 7 or n >= 4 and dots >= 3):
                     marks.append((i, j + 1))
         if starts_mail:
             seen = False
@@ -202,8 +265,16 @@ def candidates(text: str, start: int, end: int) -> tuple[list[tuple[int, int]],
                 seen = seen or at_word[j]
                 if seen and q[0].isalnum() and not at_word[j] and len(q) >= 2:
                     marks.append((i, j + 1))
+    facts: dict[int, tuple[list[bool], bool]] = {}
     for i, j in marks:
-        rows.append(segment_features(text, tokens[i][0], tokens[j - 1][1]))
+        a, b = tokens[i][0], tokens[j - 1][1]
+        if digit[i] or pieces[i] in "+(":
+            if a not in facts:
+                facts[a] = start_facts(text, a)
+            quick = number_features(text, a, b, *facts[a])
+        else:
+            quick = None
+        rows.append(segment_features(text, a, b) if quick is None else quick)
     return tokens, marks, np.array(rows).reshape(-1, len(SHAPES))
 
 
@@ -274,7 +345,7 @@ def example(pick: random.Random) -> tuple[str, list[Span]]:
         if what < 0.14:
             kind, host = "email", f"{name()}.{pick.choice(['com', 'org', 'example.net'])}"
             at, dot = pick.choice([("@", "."), (" at ", " dot "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "."), (" @ ", "."), (" at ", "."), (" (at) ", " (dot) ")])
-            s = f"{name()}{pick.choice(['', '.' + name(), number(2)])}{at}{host.replace('.', dot)}"
+            s = f"{name()}{pick.choice(['', '.' + name(), number(2), *([dot + name()] if dot != '.' else [])])}{at}{host.replace('.', dot)}"
         elif what < 0.26:
             kind, s = "ip", pick.choice([".", ".", "[.]", "(.)", " dot "]).join(str(pick.randint(0, 255)) for _ in range(4))
         elif what < 0.40:
@@ -294,7 +365,8 @@ def example(pick: random.Random) -> tuple[str, list[Span]]:
                 lambda: "".join(pick.choice("0123456789abcdef") for _ in range(40)), lambda: f"at {name()} dot", lambda: f"{number(4)} {number(4)}",
                 lambda: f"{pick.randint(300, 999)}.{pick.randint(300, 999)}.{number(3)}.{number(3)}", lambda: f"{number(2)}:{number(2)}:{number(2)}",
                 lambda: f"{number(3)}-{number(5)}", lambda: f"{number(5)} {number(2)} {number(6)}", lambda: f"@{name()}", lambda: f"{number(3)} {number(3)} {number(4)}",
-                lambda: f"{name()}-{number(3)}-{number(3)}-{number(4)}", lambda: f"{number(4)}-{number(4)}-{number(4)}-{number(4)}", lambda: f"looked at {name()}.", lambda: f"{name()} at {name()}. {name()}",
+                lambda: f"{name()}-{number(3)}-{number(3)}-{number(4)}", lambda: f"{number(4)}-{number(4)}-{number(4)}-{number(4)}", lambda: f"looked at {name()}.", lambda: f"{name()} at {name()}. {name()}", lambda: f"{name()} at {name()}.{name().title()}",
+                lambda: f"{name()} at {name()}.{pick.choice(['html', 'then', 'pdf', 'txt', 'php', 'we', 'jpg'])} ",
                 lambda: ", ".join(number(3) for _ in range(4)), lambda: f"{number(4)}.{number(4)}.{number(4)}.{number(4)}",
             ])()
             if re.fullmatch(r"\d{16}|(\d{4}[-.]){3}\d{4}", s) and luhn(re.sub(r"\D", "", s)):

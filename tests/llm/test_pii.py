@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 
@@ -81,6 +82,37 @@ def test_field_finds_disguised_spans_and_leaves_look_alikes():
     assert [two[a:b] for _, a, b in P.added_spans(two, P.base_spans(two), P.trained(), P.LEAST_SCORE)] == ["7536784127813050", "4845168114407329"]
 
 
+def test_quick_features_equal_the_general_ones():
+    pick = random.Random(5)
+    seen = 0
+    for _ in range(20000):
+        t = "".join(pick.choices(["12", "7", "4111", "00", "255", ".", "-", " ", "(", ")", "+", "/", "_", "[", "]", "tel ", "x", "$", "·", "{"], k=pick.randint(1, 14)))
+        a = pick.randrange(len(t))
+        b = pick.randrange(a, len(t)) + 1
+        quick = P.number_features(t, a, b, *P.start_facts(t, a)) if any(c.isdigit() for c in t[a:b]) else None
+        if quick is not None:
+            seen += 1
+            assert dict(zip(P.SHAPES, quick)) == dict(zip(P.SHAPES, P.segment_features(t, a, b))), (t, a, b)
+    assert seen > 5000
+
+
+def test_field_on_sentences_written_by_hand():
+    found = lambda t: [(k, t[a:b]) for k, a, b in P.base_spans(t) + P.added_spans(t, P.base_spans(t), P.trained(), P.LEAST_SCORE)]
+    for plain in ("we met at noon.Then went home", "see it at page.html dot", "it broke at line 14.We saw", "look at file.txt please", "sold at 3.50 each",
+                  "between 1990 and 2005, in 12 of 34 towns", "the game ended 21-14, 7-3 and 6-2", "call it a day at last. Then rest"):
+        assert found(plain) == [], plain
+    for text, span in (("write to john dot smith at example dot com today", "john dot smith at example dot com"), ("ask mary at mail.org now", "mary at mail.org"),
+                       ("send to bob [at] shop [dot] net please", "bob [at] shop [dot] net")):
+        assert found(text) == [("email", span)], text
+
+
+def test_runs_of_short_numbers_are_quick():
+    text = "12 34 56 78 " * 5000
+    start = time.perf_counter()
+    P.added_spans(text, P.base_spans(text), P.trained(), P.LEAST_SCORE)
+    assert time.perf_counter() - start < 6
+
+
 def test_rows_and_masking(spark):
     rows = [(1, "mail a.b@c.example or +1 (415) 555-1234"), (1, "mail a.b@c.example or +1 (415) 555-1234"), (2, None), (None, ""), (3, "10.0.0.1 é 4111111111111111")]
     df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, base int")
