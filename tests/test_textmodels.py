@@ -107,3 +107,11 @@ def test_rebuilt_scores_and_signals_without_a_vocabulary_on_the_driver(tables, m
     signals = texts.top_signals(tables).collect()
     assert Counter(r.direction for r in signals) == {"positive": 15, "negative": 15}
     assert all(r.term for r in signals)
+
+
+def test_word_counts_of_large_inputs_are_not_shuffled_pair_by_pair(tables, monkeypatch):
+    from ledgerline.operators import joins
+
+    monkeypatch.setattr(joins, "SMALL_BYTES", 0)
+    plan = texts.word_tokens(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and ", term" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
