@@ -115,3 +115,9 @@ def test_word_counts_of_large_inputs_are_not_shuffled_pair_by_pair(tables, monke
     monkeypatch.setattr(joins, "SMALL_BYTES", 0)
     plan = texts.word_tokens(tables)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" in plan and ", term" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_fits_side_by_side_equal_those_in_turn(spark):
+    terms = T.TermRows(frame(spark), "true", "unigrams")
+    parts = L.side_by_side(lambda k: T.fit_bayes(terms.rows.filter(f"doc_id <> {k}"), terms.size).weights.tolist(), [0, 1, 3], 3)
+    assert parts == [pytest.approx(T.fit_bayes(terms.rows.filter(f"doc_id <> {k}"), terms.size).weights.tolist()) for k in (0, 1, 3)]
