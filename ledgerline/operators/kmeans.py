@@ -16,8 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialised
+
 #: Rows per matrix product, rounds of seeding, candidates per round and centre.
-CHUNK, ROUNDS, OVERSAMPLE = 4096, 4, 2
+CHUNK, ROUNDS, OVERSAMPLE = 256, 4, 2
+#: Centres in one matrix product, so that it stays in a core's cache.
+TOGETHER = 128
 
 
 @dataclass
@@ -37,10 +41,29 @@ def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * (x @ centers.T) + (centers * centers).sum(1)[None, :], 0.0)
 
 
-def uniform(h: np.ndarray, salt: int) -> np.ndarray:
-    """Numbers in (0, 1) from 64-bit row hashes and a salt (the splitmix finisher)."""
+def stacked_runs(centers: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
+    """Neighbouring models with as many centres each, stacked: (centres per model, their centres one below the other)."""
+    runs: list[list[np.ndarray]] = []
+    for c in centers:
+        if runs and len(runs[-1][0]) == len(c) and (len(runs[-1]) + 1) * len(c) <= TOGETHER:
+            runs[-1].append(c)
+        else:
+            runs.append([c])
+    return [(len(run[0]), np.vstack(run)) for run in runs]
+
+
+def nearer(x: np.ndarray, k: int, stacked: np.ndarray) -> np.ndarray:
+    """Squared distances less the row's own square, as models x centres x rows; one matrix product."""
+    far = stacked @ (-2.0 * x.T)
+    far += (stacked * stacked).sum(1)[:, None]
+    return far.reshape(-1, k, len(x))
+
+
+def uniform(h: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) from 64-bit row hashes and a salt (the splitmix finisher); a row of numbers per salt for a column of them."""
     with np.errstate(over="ignore"):
-        z = h.view(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2**64 - 1))
+        salt = np.asarray(salt).astype(np.uint64)
+        z = h.view(np.uint64) + (salt * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019))
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z = z ^ (z >> np.uint64(31))
@@ -52,7 +75,10 @@ class Rows:
 
     def __init__(self, df: DataFrame, features: list[str]) -> None:
         ident = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        self.source = df.select(ident.alias("h"), *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]).dropna()
+        rows = df.select(ident.alias("h"), *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]).dropna()
+        # Every pass takes as long as its largest task: rows in fewer parts than there are cores are dealt out once.
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        self.source = rows if df.rdd.getNumPartitions() >= cores else materialised(rows.repartition(cores, "h"))
         self.d, self.passes = len(features), 0
 
     def each(self, work: Callable, done: Callable, schema: str, fresh: Callable) -> DataFrame:
@@ -73,24 +99,27 @@ class Rows:
 
     def sums(self, centers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(rows, cost, squares, sums) per centre of all models, in their order; a row counts for its nearest centre of each."""
-        stacked, d = np.vstack(centers), self.d
-        cuts = np.cumsum([0, *[len(c) for c in centers]])
+        runs, d = stacked_runs(centers), self.d
+        total = sum(len(c) for c in centers)
 
         def add(state: np.ndarray, _h: np.ndarray, x: np.ndarray) -> None:
-            far, norm = squared_distances(x, stacked), (x * x).sum(1)
-            near = np.empty((len(cuts) - 1, len(x)), dtype=np.int64)
-            cost = np.empty((len(cuts) - 1, len(x)))
-            for m in range(len(cuts) - 1):
-                own = far[:, cuts[m] : cuts[m + 1]]
-                near[m] = own.argmin(1)
-                cost[m] = own[np.arange(len(x)), near[m]]
-                near[m] += cuts[m]
-            flat, n, times = near.ravel(), len(stacked), len(cuts) - 1
-            state[:, 0] += np.bincount(flat, minlength=n)
-            state[:, 1] += np.bincount(flat, weights=cost.ravel(), minlength=n)
-            state[:, 2] += np.bincount(flat, weights=np.tile(norm, times), minlength=n)
-            for j in range(d):
-                state[:, 3 + j] += np.bincount(flat, weights=np.tile(x[:, j], times), minlength=n)
+            norm = (x * x).sum(1)
+            counted = np.column_stack([np.ones(len(x)), norm, x])
+            at = 0
+            for k, stacked in runs:
+                far = nearer(x, k, stacked)
+                best = far.min(axis=1)
+                own = far == best[:, None, :]
+                if int(np.count_nonzero(own)) > best.size:
+                    # Equally near centres: the first one has the row.
+                    own &= own.cumsum(axis=1) == 1
+                own = own.astype(float)
+                here = state[at : at + len(stacked)]
+                found = own.reshape(len(stacked), len(x)) @ counted
+                here[:, 0] += found[:, 0]
+                here[:, 1] += (own @ np.maximum(best + norm, 0.0)[:, :, None]).ravel()
+                here[:, 2:] += found[:, 1:]
+                at += len(stacked)
 
         names = ["n", "cost", "squares", *[f"s{j}" for j in range(d)]]
 
@@ -99,8 +128,8 @@ class Rows:
             return pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(state[used, i]) for i in range(len(names))]], names=["slot", *names])
 
         schema = "slot long, " + ", ".join(f"{c} double" for c in names)
-        parts = self.each(add, done, schema, lambda: np.zeros((len(stacked), 3 + d)))
-        out = np.zeros((len(stacked), 3 + d))
+        parts = self.each(add, done, schema, lambda: np.zeros((total, 3 + d)))
+        out = np.zeros((total, 3 + d))
         for row in parts.groupBy("slot").agg(*[F.sum(c).alias(c) for c in names]).collect():
             out[row["slot"]] = [row[c] for c in names]
         return out[:, 0], out[:, 1], out[:, 2], out[:, 3:]
@@ -112,15 +141,28 @@ class Rows:
         """
         d = self.d
 
+        salt = np.array(salts)[:, None]
+        runs = None if centers[0] is None else stacked_runs(centers)
+
         def race(state: list, h: np.ndarray, x: np.ndarray) -> None:
-            for m, (own, n, salt) in enumerate(zip(centers, wanted, salts, strict=True)):
-                weight = np.ones(len(x)) if own is None else squared_distances(x, own).min(1)
-                # What rounding leaves of a distance to a row already taken is no distance.
-                open_rows = weight > 1e-9
-                time = np.where(open_rows, -np.log(uniform(h, salt)) / np.where(open_rows, weight, 1.0), np.inf)
-                first = np.argpartition(time, min(n, len(x)) - 1)[:n]
-                first = first[np.isfinite(time[first])]
-                kept = np.vstack([state[m], np.column_stack([time[first], x[first]])])
+            weight = np.ones((len(wanted), len(x)))
+            if runs is not None:
+                norm, at = (x * x).sum(1), 0
+                for k, stacked in runs:
+                    least = nearer(x, k, stacked).min(axis=1)
+                    weight[at : at + len(least)] = np.maximum(least + norm, 0.0)
+                    at += len(least)
+            # What rounding leaves of a distance to a row already taken is no distance.
+            open_rows = weight > 1e-9
+            time = np.where(open_rows, -np.log(uniform(h, salt)) / np.where(open_rows, weight, 1.0), np.inf)
+            # Only rows that beat the last of a model's best so far are looked at.
+            bar = np.array([s[-1, 0] if len(s) >= n else np.inf for s, n in zip(state, wanted, strict=True)])
+            for m in np.flatnonzero((time < bar[:, None]).any(axis=1)):
+                n, own = wanted[m], time[m]
+                first = np.flatnonzero(own < bar[m])
+                if len(first) > n:
+                    first = first[np.argpartition(own[first], n - 1)[:n]]
+                kept = np.vstack([state[m], np.column_stack([own[first], x[first]])])
                 state[m] = kept[np.argsort(kept[:, 0], kind="stable")[:n]]
 
         names = ["time", *[f"x{j}" for j in range(d)]]
