@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import learn as L
 from ..operators import metrics as M
+from ..operators import termcounts as TC
 from ..operators import textmine as X
 from ..operators import textmodels as X2
 from ..operators.joins import balanced
@@ -63,7 +64,7 @@ tf AS (SELECT doc_id, term, sum(n) AS tf FROM g GROUP BY 1, 2)
 SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 2""")
 def char_ngrams(t):
     """Character 3- to 5-grams within padded words, in at least two documents."""
-    return X.document_frequency(balanced(t.documents.select("doc_id", "text"), "doc_id"), X.char_gram_set("text"), 2)
+    return TC.document_frequency(balanced(t.documents.select("doc_id", "text"), "doc_id"), F.lower("text"), TC.char_gram_counts, 2)
 
 
 def document_weights(t):
