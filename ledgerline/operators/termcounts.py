@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: UTF-8 bytes and texts that are counted together; one larger text is a slice of its own.
-SLICE_BYTES, SLICE_TEXTS = 1 << 18, 1 << 14
+#: UTF-8 bytes (of texts for grams of characters and of words) and texts that are counted together; one larger text is a slice of its own.
+SLICE_BYTES, WORD_SLICE_BYTES, SLICE_TEXTS = 1 << 18, 1 << 24, 1 << 14
 LOW, HIGH = 3, 5
 
 
@@ -98,12 +98,12 @@ def word_gram_counts(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     return pa.concat_arrays([names.take(pa.array(one.astype(np.int64))), pairs]), np.concatenate([n_one, n_two])
 
 
-def slices(texts: pa.Array) -> Iterator[list[str]]:
+def slices(texts: pa.Array, limit: int) -> Iterator[list[str]]:
     """The texts in lists of bounded size."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = size = 0
     for i, n in enumerate(sizes.tolist()):
-        if i > start and (size + n > SLICE_BYTES or i - start >= SLICE_TEXTS):
+        if i > start and (size + n > limit or i - start >= SLICE_TEXTS):
             yield [t or "" for t in texts.slice(start, i - start).to_pylist()]
             start, size = i, 0
         size += n
@@ -113,10 +113,11 @@ def slices(texts: pa.Array) -> Iterator[list[str]]:
 
 def document_frequency(df: DataFrame, text: Column, count: Callable, min_df: int = 1) -> DataFrame:
     """``term, df`` with ``count`` for every slice of each task's texts; counts of a term meet in one combined shuffle."""
+    limit = WORD_SLICE_BYTES if count is word_gram_counts else SLICE_BYTES
 
     def counted(batches):
         for batch in batches:
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), limit):
                 terms, n = count(texts)
                 if len(terms):
                     yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()) if isinstance(terms, list) else terms.cast(pa.string()), pa.array(n, pa.int64())], ["term", "n"])

@@ -45,8 +45,21 @@ def test_char_grams_equal_the_plain_ones(spark, monkeypatch):
     assert {r.term: r.df for r in TC.document_frequency(df, F.lower("text"), TC.char_gram_counts, 2).collect()} == old
 
 
+def test_word_grams_equal_the_plain_ones(spark, monkeypatch):
+    rng = random.Random(5)
+    words = ["a", "bb", "Ä", "ÄÖ", "x_1", "\u00b2\u00b3", "\U0001f600", "\U00020000\U00020001", "\x00", "--", "don't", "中文", "٣٤", "BB"]
+    texts = [rng.choice([" ", ", ", "\n", "\u00a0"]).join(rng.choices(words, k=rng.randrange(12))) for _ in range(300)] + [None, "", "bb", "a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3, "doc_id")
+    old = {r.term: r.df for r in X.document_frequency(df, X.with_bigrams(X.word_array("text")), 2).collect()}
+    for size in (1, 400, 1 << 18):
+        monkeypatch.setattr(TC, "WORD_SLICE_BYTES", size)
+        got = TC.document_frequency(df, F.regexp_replace(F.lower("text"), X.NO_WORD, " "), TC.word_gram_counts, 2).collect()
+        assert {r.term: r.df for r in got} == old and len(got) == len(old)
+
+
 def test_texts_are_not_exploded_into_rows(spark, tables):
     import __spark_entry__ as entry
 
-    plan = entry.queries()["char_ngrams"](spark, tables.root)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Generate" not in plan and "explode" not in plan
+    for name in ("char_ngrams", "word_ngrams"):
+        plan = entry.queries()[name](spark, tables.root)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "explode" not in plan, name
