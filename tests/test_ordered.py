@@ -119,3 +119,9 @@ def test_lookup_join_beyond_broadcast(spark, monkeypatch, how):
 def test_hot_keys_are_bounded(spark):
     fact = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
     assert [r.k for r in J.hot_keys(fact, ["k"], 100).collect()] == [0]
+
+
+def test_codes_are_computed_once_for_quantiles(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.37).alias("x"))
+    plan = O.exact_quantiles(df, "x", {"p": 0.5}, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LOG2" not in plan.upper() and "POW" not in plan.upper()
