@@ -20,8 +20,8 @@ def rfm_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """``customer_id, recency, frequency, monetary, avg_basket, promo_share, category_breadth``.
 
     ``orders``: order_id, customer_id, day, cents.  ``lines``: order_id, category,
-    n, promo (line counts per order and category).  Lines are summed per
-    (customer, category) before counting categories, so no customer's lines are gathered.
+    n, promo (counts of lines, in any number of rows per order and category).  Lines are summed
+    per (customer, category) before counting categories, so no customer's lines are gathered.
     """
     last = orders.agg(F.max("day").alias("_mx"))
     basket = orders.groupBy("customer_id").agg(

@@ -125,3 +125,24 @@ def test_codes_are_computed_once_for_quantiles(spark):
     df = spark.range(0, 3000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.37).alias("x"))
     plan = O.exact_quantiles(df, "x", {"p": 0.5}, ["g"])._jdf.queryExecution().optimizedPlan().toString()
     assert "LOG2" not in plan.upper() and "POW" not in plan.upper()
+
+
+def test_cells_of_one_value_are_not_cut(spark, monkeypatch):
+    """A frequent value took all five steps, each a pass over all rows."""
+    written, real = [], O.materialised
+    monkeypatch.setattr(O, "FIT", 50)
+    monkeypatch.setattr(O, "materialised", lambda df: written.append(df) or real(df))
+    own = {"a": [10.0] * 400 + [3.0] * 90 + [77.0] * 60, "b": [6.0] * 300 + [float(i) for i in range(20)]}
+    df = spark.createDataFrame([(g, v) for g, values in own.items() for v in values], "g string, v double")
+    probs = {"low": 0.1, "mid": 0.5, "high": 0.93}
+    got = O.exact_quantiles(df, "v", probs, ["g"]).collect()
+    assert {r.g: [r[p] for p in probs] for r in got} == {g: pytest.approx([np.quantile(v, p) for p in probs.values()]) for g, v in own.items()}
+    assert len(written) == 2
+
+
+def test_cells_are_cut_beside_cells_of_one_value(spark, monkeypatch):
+    monkeypatch.setattr(O, "FIT", 50)
+    own = {"a": [10.0] * 400, "b": [1000.0 + i / 16 for i in range(400)] + [1010.5] * 90}
+    df = spark.createDataFrame([(g, v) for g, values in own.items() for v in values], "g string, v double")
+    got = {r.g: (r.low, r.mid) for r in O.exact_quantiles(df, "v", {"low": 0.31, "mid": 0.5}, ["g"]).collect()}
+    assert got == {g: pytest.approx((np.quantile(v, 0.31), np.quantile(v, 0.5))) for g, v in own.items()}

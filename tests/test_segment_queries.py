@@ -81,3 +81,15 @@ def test_screen_finds_planted_outliers(spark):
 
     flagged = G.screen_anomalies(G.isolation_scores(rows, "customer_id", P.FEATURES))
     assert G.recall_of(flagged, F.col("customer_id") % 50 == 0, F.col("is_anomaly")).first().recall == 1.0
+
+
+def test_order_lines_are_shuffled_once_before_they_meet_customers(spark, tables):
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.feeds import order_baskets
+
+    orders, lines = order_baskets(tables)
+    assert "Aggregate" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    # The same features from lines counted per order and type before.
+    counted = lines.groupBy("order_id", "category").agg(F.sum("n").alias("n"), F.sum("promo").alias("promo"))
+    assert sorted(G.rfm_features(orders, lines).collect()) == sorted(G.rfm_features(orders, counted).collect())
