@@ -100,7 +100,8 @@ def near_pairs(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     # step towards each other in one segment.
     counted = (low == 0) | ((high != 0) & ((F.abs(low) < F.abs(high)) | (low == -high)))
     close = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
-    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & close & counted).select(
+    # Spark sizes cells as it does the fingerprints they are made of, a thirtieth of what they are, and would send them to all executors.
+    return a.join(b.hint("merge"), (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & close & counted).select(
         F.col("a.fp").alias("a"), F.col("b.fp").alias("b")
     )
 

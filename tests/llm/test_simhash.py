@@ -130,3 +130,10 @@ def components(rows):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_copies(df).count() == 0 and S.keep_one(df).count() == 0
+
+
+def test_cells_of_few_fingerprints_are_not_broadcast(spark, tmp_path):
+    # A table of fingerprints below Spark's broadcast size, whose cells are thirty times as large.
+    spark.range(2000).selectExpr("xxhash64(id) AS fp", "id AS first").write.parquet(str(tmp_path / "nodes"))
+    plan = S.near_pairs(spark.read.parquet(str(tmp_path / "nodes")))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
