@@ -121,3 +121,28 @@ def test_fits_side_by_side_equal_those_in_turn(spark):
     terms = T.TermRows(frame(spark), "true", "unigrams")
     parts = L.side_by_side(lambda k: T.fit_bayes(terms.rows.filter(f"doc_id <> {k}"), terms.size).weights.tolist(), [0, 1, 3], 3)
     assert parts == [pytest.approx(T.fit_bayes(terms.rows.filter(f"doc_id <> {k}"), terms.size).weights.tolist()) for k in (0, 1, 3)]
+
+
+def test_folds_dealt_twice_stay_beside_each_other(spark):
+    rows = spark.createDataFrame([(i, f"t{i}", i % 2, i % 5 == 0) for i in range(40)], "doc_id long, text string, label int, is_test boolean")
+    both = texts.dealt(texts.dealt(rows, 5, "fold"), 3, "part").collect()
+    assert len(both) == 40
+    assert all((r.fold, r.part) == (-1, -1) if r.is_test else r.fold in range(5) and r.part in range(3) for r in both)
+    assert len({(r.fold, r.part) for r in both}) > 5
+
+
+def test_hashed_rows_go_once_they_are_indexed(spark):
+    from ledgerline.session import owned
+
+    before = set(owned(spark))
+    terms = T.TermRows(frame(spark), "true", "unigrams")
+    assert [p for p in owned(spark) if p not in before] == [terms.rows.stored_at]
+
+
+def test_sums_meet_on_the_driver_or_in_tasks(spark, monkeypatch):
+    terms = T.TermRows(frame(spark), "true", "words")
+    direct = T.fit_linear(terms.rows, terms.size, "squared_hinge", 1.0)
+    monkeypatch.setattr(T, "DIRECT", 0)
+    monkeypatch.setattr(T, "CACHED", 1)
+    met = T.fit_linear(terms.rows, terms.size, "squared_hinge", 1.0)
+    assert met.weights.tolist() == pytest.approx(direct.weights.tolist()) and met.intercept == pytest.approx(direct.intercept)
